@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirstream.functions.timefn import text_of_us
 from weirstream.operators.as_known import as_known
 from weirstream.operators.interval_union import continuous_periods
+from weirstream.operators.mixed_time import choose, interpretations
 from weirstream.operators.regular_grid import empty_cells, regular_grid
+from weirstream.operators.rejects import parse_rows
 from weirstream.sources.tables import table
 
 QUERIES = {}
@@ -91,3 +94,32 @@ SELECT reading_id, rating_id FROM j WHERE k = 1
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = table(spark, sf_dir, "bronze").filter(F.col("data_type") == "H")
     return as_known(stage, table(spark, sf_dir, "ratings"))
+
+
+def _export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_rows(table(spark, sf_dir, "wiski_all_lines"), table(spark, sf_dir, "quality_codes"))
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _export_rows(spark, sf_dir).filter("reason is not null").select("line_id", "reason")
+
+
+@query("p3_valid")
+def p3_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid rows as a typed table; the time is still text (problem 5 settles it)."""
+    return _export_rows(spark, sf_dir).filter("reason is null").select("line_id", "station", "time_text", "value", F.col("quality").cast("int").alias("quality"), "remarks")
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = (
+        table(spark, sf_dir, "bronze_landing")
+        .select("landing_id", "timestamp", "feed")
+        .join(F.broadcast(table(spark, sf_dir, "feeds").select("feed", "zone", "day_order").dropDuplicates(["feed"])), "feed", "left")  # a fixed list of feeds
+    )
+    landing = interpretations(landing, "timestamp", F.lower(F.trim("day_order")), F.col("zone"))
+    exports = _export_rows(spark, sf_dir).filter("reason is null")
+    found = choose(landing, ["feed"], "landing_id", "landing_id").select(F.lit("bronze_landing").alias("table_name"), F.col("row").alias("row_id"), "us")
+    found = found.unionByName(choose(exports, ["file"], "line_no", "line_id").select(F.lit("wiski_all_lines").alias("table_name"), F.col("row").alias("row_id"), "us"))
+    return found.select("table_name", "row_id", text_of_us(F.col("us")).alias("utc_time"))
