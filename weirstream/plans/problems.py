@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirstream.functions.timefn import text_of_us
 from weirstream.operators.as_known import as_known
+from weirstream.operators.implausible import implausible, noted_tidal
 from weirstream.operators.interval_union import continuous_periods
 from weirstream.operators.mixed_time import choose, interpretations
 from weirstream.operators.regular_grid import empty_cells, regular_grid
@@ -123,3 +124,18 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = choose(landing, ["feed"], "landing_id", "landing_id").select(F.lit("bronze_landing").alias("table_name"), F.col("row").alias("row_id"), "us")
     found = found.unionByName(choose(exports, ["file"], "line_no", "line_id").select(F.lit("wiski_all_lines").alias("table_name"), F.col("row").alias("row_id"), "us"))
     return found.select("table_name", "row_id", text_of_us(F.col("us")).alias("utc_time"))
+
+
+def _implausible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return implausible(table(spark, sf_dir, "silver"), noted_tidal(table(spark, sf_dir, "gauge_registry")))
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _implausible(spark, sf_dir).select("reading_id")
+
+
+@query("p2_flags")
+def p2_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with the check that each fails."""
+    return _implausible(spark, sf_dir)
