@@ -57,7 +57,7 @@ def validate_set(curves: list[tuple]) -> None:
 def flow_at(h: Column, c: Column, a: Column, b: Column) -> Column:
     """``max(0, c * max(h - a, 0) ** b)``; NULL stays NULL, NaN gives 0."""
     depth = F.greatest(F.nanvl(h, a) - a, F.lit(0.0))
-    return F.when(h.isNotNull(), F.greatest(c * F.pow(depth, b), F.lit(0.0)))
+    return F.when(h.isNotNull() & c.isNotNull(), F.greatest(c * F.pow(depth, b), F.lit(0.0)))
 
 
 def limb_table(limbs: DataFrame, keys: list[str]) -> DataFrame:

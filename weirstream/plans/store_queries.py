@@ -383,7 +383,7 @@ def _stage(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", (F.col("value") / 100 - 0.5).alias("value"), F.lit(1).alias("curve"))
 
 
-@query("rate", f"SELECT event_id, round(greatest(l.c * pow(greatest(v - l.a, 0), l.b), 0), 6) AS flow, l.doubtful FROM (SELECT event_id, value / 100 - 0.5 AS v FROM events) e LEFT JOIN {_LIMBS} ON v >= l.lower AND (v < l.upper OR l.limb_no = 3)")
+@query("rate", f"SELECT event_id, round(CASE WHEN l.limb_no IS NOT NULL THEN greatest(l.c * pow(greatest(v - l.a, 0), l.b), 0) END, 6) AS flow, l.doubtful FROM (SELECT event_id, value / 100 - 0.5 AS v FROM events) e LEFT JOIN {_LIMBS} ON v >= l.lower AND (v < l.upper OR l.limb_no = 3)")
 def rate(spark: SparkSession, d: str) -> DataFrame:
     out = rating.rate(_stage(spark, d), rating.limb_table(_limbs(spark), ["curve"]), ["curve"])
     return out.select("event_id", F.round("flow", 6).alias("flow"), "doubtful")
