@@ -13,7 +13,8 @@ MARK = "Station Site:"
 
 def read_blocks(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """One row per block, split at the block mark by the reader itself, so that a large file is read in parts."""
-    raw = spark.read.option("lineSep", MARK).option("encoding", encoding).text(path) if encoding.upper() in ("UTF-8", "UTF8") else spark.read.option("lineSep", MARK).format("csv").option("sep", "\x01").option("quote", "").option("escape", "").option("encoding", encoding).option("multiLine", False).schema("value string").load(path)
+    # the text reader keeps the bytes of a record as they are, so they can be decoded afterwards
+    raw = spark.read.option("lineSep", MARK).text(path).withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
     return raw.withColumn("file", F.col("_metadata.file_path")).filter(F.col("value").contains("Time stamp,"))
 
 
