@@ -82,7 +82,16 @@ LATIN = (
     "occaecat cupidatat proident culpa officia deserunt mollit laborum sit"
 )
 #: Four in a row are dense enough.
-LATIN_RUN = r"\b(?:(?:" + LATIN.replace(" ", "|") + r")[ .,;:!?…]+){3}(?:" + LATIN.replace(" ", "|") + r")\b"
+def _words(words: list[str]) -> str:
+    """One of the words, tried by first letter: most places of a text are settled by one comparison a letter."""
+    first: dict[str, list[str]] = {}
+    for w in words:
+        first.setdefault(w[0], []).append(w[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items()) + ")"
+
+
+LATIN_RUN = rf"\b(?:{_words(LATIN.split())}[ .,;:!?…]+){{3}}{_words(LATIN.split())}\b"
+
 ERROR = [
     r"\b[45]\d\d (?:not found|internal server error|forbidden|bad gateway|service unavailable|gateway time ?out|unauthorized|too many requests)\b",
     r"\bbad gateway\b", r"\bservice (?:is )?temporarily unavailable\b", r"\bpage can ?t be displayed\b", r"\b(?:do not|don t) have permission to (?:view|access)\b",
@@ -164,25 +173,32 @@ def _fields(t: Column) -> Column:
 
 
 def residue(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``template, filler, error_page, scripts`` (booleans, never NULL)."""
+    """Add ``template, filler, error_page, scripts`` (booleans, never NULL), and ``_once``, a running id.
+
+    A filter that also looks at ``_once`` stays above this work; without it the optimizer would push the filter down through
+    every intermediate form of the text and repeat them.
+    """
     once = df.withColumn("_raw", cleaned(F.coalesce(F.col(text), F.lit(""))))
-    tpl = F.when(F.lower("_raw").contains("[name]"), F.regexp_replace("_raw", "(?i)" + _any(MENTIONED_FIELDS), " ")).otherwise(F.col("_raw"))
+    tpl = F.when(F.col("_raw").rlike(r"(?i)\[name\]"), F.regexp_replace("_raw", "(?i)" + _any(MENTIONED_FIELDS), " ")).otherwise(F.col("_raw"))
     once = once.withColumn("_tpl", tpl)
     # the costlier forms of the text are made only where a stem of some message occurs
-    once = once.withColumn("_cand", _holds(F.lower("_raw"), STEMS))
+    once = once.withColumn("_low", F.lower("_raw"))
+    once = once.withColumn("_cand", _holds(F.col("_low"), STEMS))
     say = F.regexp_replace(F.regexp_replace(plain(unquoted(F.col("_raw"))), r" [.!?…|] (?=[.!?…|])", " "), _any(TALK), " mention ")
     once = once.withColumn("_say", F.when(F.col("_cand"), say))
     once = once.withColumn("_flat", F.when(F.col("_cand"), F.regexp_replace(F.regexp_replace("_say", r"[.!?…|»”\[\]]", " "), " +", " ")))
     sure = lambda c: F.coalesce(c, F.lit(False))
-    return (
-        once.withColumn("template", _fields(F.col("_tpl")))
-        .withColumn("filler", sure(F.col("_flat").rlike(_any(FILLER))) | F.lower("_raw").rlike(LATIN_RUN))
-        .withColumn("error_page", sure(F.col("_flat").rlike(_any(ERROR)) | F.col("_say").rlike(DENIED)))
-        .withColumn("scripts", sure(F.col("_flat").rlike(_any(SCRIPTS))))
-        .drop("_raw", "_tpl", "_say", "_flat", "_cand")
-    )
+    return once.withColumns(
+        {
+            "template": _fields(F.col("_tpl")),
+            "filler": sure(F.col("_flat").rlike(_any(FILLER))) | F.col("_low").rlike(LATIN_RUN),
+            "error_page": sure(F.col("_flat").rlike(_any(ERROR)) | F.col("_say").rlike(DENIED)),
+            "scripts": sure(F.col("_flat").rlike(_any(SCRIPTS))),
+            "_once": F.monotonically_increasing_id(),
+        }
+    ).drop("_raw", "_low", "_tpl", "_say", "_flat", "_cand")
 
 
 def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, template, filler, error_page, scripts) of the rows that hold remains of the publishing system."""
-    return residue(df.select(key, text), text).drop(text).filter("template or filler or error_page or scripts")
+    return residue(df.select(key, text), text).filter("(template or filler or error_page or scripts) and _once >= 0").drop(text, "_once")
