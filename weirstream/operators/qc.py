@@ -3,6 +3,9 @@
 Every check gives a boolean that is never NULL: a NULL value fails no check. All windows share one partitioning and order
 (``Spec.w``), so a plan with every check has one exchange and one sort.
 
+``blocked(df)`` cuts the series into row blocks with context first (see ``blocks``): the checks are then the same, row for
+row, but a series with a third of all rows is many tasks. Rows of context are to be dropped afterwards (``_own``).
+
 Checks whose limits come from the whole series (median absolute deviation, quantiles) are exact; they never fire where the
 deviation is zero or unknown.
 """
@@ -14,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weirstream.operators.blocks import in_blocks
+
 UP, DOWN = Window.unboundedPreceding, Window.unboundedFollowing
 
 
@@ -23,15 +28,21 @@ class Spec:
 
     keys: tuple[str, ...] = ("site_id", "data_type")
     order: tuple[str, ...] = ("timestamp", "reading_id")
+    block: str | None = None
 
     @property
     def w(self):
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        return Window.partitionBy(*self.keys, *([self.block] if self.block else [])).orderBy(*self.order)
 
     @property
     def p(self):
+        if self.block:
+            raise ValueError("statistics of a series in blocks come with the blocks")
         return Window.partitionBy(*self.keys)
 
+    def size(self) -> Column:
+        return F.col("_total") if self.block else F.count(F.lit(1)).over(self.p)
+
     def rows(self, a: int, b: int):
         return self.w.rowsBetween(a, b)
 
@@ -39,7 +50,16 @@ class Spec:
         return F.lag(c, n).over(self.w)
 
     def rn(self) -> Column:
-        return F.row_number().over(self.w)
+        """Number of the row within its series."""
+        return F.col("_n") if self.block else F.row_number().over(self.w)
+
+
+BLOCKED = Spec(block="_block")
+
+
+def blocked(df: DataFrame, spec: Spec = BLOCKED, value: str = "value") -> DataFrame:
+    """The series in row blocks, with the statistics that the checks need; to be used with a Spec that has ``block``."""
+    return in_blocks(df, spec.keys, spec.order, value)
 
 
 def sure(c: Column) -> Column:
@@ -50,8 +70,13 @@ def _with(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return df.withColumns(cols)
 
 
-def mad_limits(df: DataFrame, spec: Spec, of: str, out: str, signed: str | None = None) -> DataFrame:
-    """Add ``out_med`` (median of ``of``) and ``out_mad`` (constant-1 deviation of ``signed`` or ``of`` around its own median)."""
+def mad_limits(df: DataFrame, spec: Spec, of: str, out: str, signed: str | None = None, known: tuple[str, str] | None = None) -> DataFrame:
+    """Add ``out_med`` (median of ``of``) and ``out_mad`` (constant-1 deviation of ``signed`` or ``of`` around its own median).
+
+    ``known`` names the statistics of the blocks that are the same: of the median and of the deviation.
+    """
+    if spec.block:
+        return df.withColumns({f"{out}_med": F.col(f"_st_{known[0]}_med"), f"{out}_mad": F.col(f"_st_{known[1]}_mad")})
     s = signed or of
     half = F.lit(0.5)
     df = df.withColumn(f"{out}_med", F.percentile(of, half).over(spec.p))
@@ -89,7 +114,7 @@ def qc_drop(v: Column, spec: Spec, ratio: float = 0.9, min_flow: float = 1) -> C
 
 def add_absolute_spike(df: DataFrame, spec: Spec, v: str = "value", k: float = 5, min_spike_flow: float = 1, out: str = "absolute_spike") -> DataFrame:
     df = df.withColumn("_d", F.abs(F.col(v) - spec.lag(F.col(v))))
-    df = mad_limits(df, spec, "_d", "_a")
+    df = mad_limits(df, spec, "_d", "_a", known=("a", "a"))
     limit = F.col("_a_med") + k * F.col("_a_mad")
     return df.withColumn(out, sure((F.col("_a_mad") > 0) & (F.col(v) > min_spike_flow) & (F.col("_d") > limit))).drop("_d", "_a_med", "_a_mad")
 
@@ -106,7 +131,10 @@ def add_truncation(df: DataFrame, spec: Spec, v: str = "value", min_run: int = 4
     """Add ``truncation_low`` and ``truncation_high``."""
     r = F.round(F.col(v), 4)
     df = with_runs(df, spec, r, "_len")
-    ql, qh = F.percentile(v, F.lit(low)).over(spec.p), F.percentile(v, F.lit(high)).over(spec.p)
+    if spec.block:
+        ql, qh = F.col("_st_v_lo"), F.col("_st_v_hi")  # of the blocks' quantiles
+    else:
+        ql, qh = F.percentile(v, F.lit(low)).over(spec.p), F.percentile(v, F.lit(high)).over(spec.p)
     long = F.col("_len") >= min_run
     return df.withColumns({"truncation_low": sure(long & (r <= ql)), "truncation_high": sure(long & (r >= qh))}).drop("_len")
 
@@ -125,10 +153,10 @@ def qc_h_rate_of_change(v: Column, spec: Spec, max_rise: float = 0.5, max_fall:
 
 def add_h_spike(df: DataFrame, spec: Spec, v: str = "value", k: float = 5, return_window: int = 3, out: str = "h_spike") -> DataFrame:
     df = df.withColumn("_d", F.col(v) - spec.lag(F.col(v))).withColumn("_ad", F.abs("_d"))
-    df = mad_limits(df, spec, "_ad", "_h", signed="_d")
+    df = mad_limits(df, spec, "_ad", "_h", signed="_d", known=("a", "s"))
     df = df.withColumn("_limit", F.when(F.col("_h_mad") > 0, F.col("_h_med") + k * F.col("_h_mad")))
     back = F.min("_d").over(spec.rows(1, return_window))
-    df = df.withColumn("_hit", sure((F.col("_d") > F.col("_limit")) & (back < -0.5 * F.col("_limit")) & (F.count(F.lit(1)).over(spec.p) >= 3)).cast("int"))
+    df = df.withColumn("_hit", sure((F.col("_d") > F.col("_limit")) & (back < -0.5 * F.col("_limit")) & (spec.size() >= 3)).cast("int"))
     return df.withColumn(out, F.max("_hit").over(spec.rows(-return_window, 0)) == 1).drop("_d", "_ad", "_h_med", "_h_mad", "_limit", "_hit")
 
 
@@ -139,11 +167,11 @@ def add_h_flatline(df: DataFrame, spec: Spec, v: str = "value", min_run: int = 4
 def add_h_datum_shift(df: DataFrame, spec: Spec, v: str = "value", window: int = 24, threshold: float = 0.1, out: str = "h_datum_shift") -> DataFrame:
     half = F.lit(0.5)
     df = df.withColumns(
-        {"_b": F.percentile(v, half).over(spec.rows(-window, -1)), "_f": F.percentile(v, half).over(spec.rows(0, window - 1)), "_rn": spec.rn(), "_n": F.count(F.lit(1)).over(spec.p)}
+        {"_b": F.percentile(v, half).over(spec.rows(-window, -1)), "_f": F.percentile(v, half).over(spec.rows(0, window - 1)), "_rn": spec.rn(), "_all": spec.size()}
     )
-    fits = (F.col("_rn") >= window + 1) & (F.col("_rn") <= F.col("_n") - window + 1)
+    fits = (F.col("_rn") >= window + 1) & (F.col("_rn") <= F.col("_all") - window + 1)
     df = df.withColumn("_hit", sure(fits & (F.abs(F.col("_f") - F.col("_b")) > threshold)).cast("int"))
-    return df.withColumn(out, F.max("_hit").over(spec.rows(-(window - 1), 0)) == 1).drop("_b", "_f", "_rn", "_n", "_hit")
+    return df.withColumn(out, F.max("_hit").over(spec.rows(-(window - 1), 0)) == 1).drop("_b", "_f", "_rn", "_all", "_hit")
 
 
 def add_stage_flow_consistency(df: DataFrame, spec: Spec, stage: str = "stage", flow: str = "flow", window: int = 4, out: str = "inconsistent") -> DataFrame:
@@ -178,7 +206,7 @@ def add_p_dry_run(df: DataFrame, spec: Spec, v: str = "value", wet: str = "wet",
 
 
 def add_p_reset(df: DataFrame, spec: Spec, v: str = "value", k: float = 10, return_window: int = 2, out: str = "p_reset") -> DataFrame:
-    df = mad_limits(df, spec, v, "_p")
+    df = mad_limits(df, spec, v, "_p", known=("v", "v"))
     back = F.min(v).over(spec.rows(1, return_window))
     hit = (F.col("_p_mad") > 0) & (F.col(v) > F.col("_p_med") + k * F.col("_p_mad")) & (back <= F.col("_p_med") + F.col("_p_mad"))
     return df.withColumn(out, sure(hit)).drop("_p_med", "_p_mad")

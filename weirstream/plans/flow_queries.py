@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstream.operators import qc
-from weirstream.operators.qc import Spec
 from weirstream.sources.tables import table, usable
 
 QUERIES = {}
 SQL = {}
-SPEC = Spec()
+SPEC = qc.BLOCKED
 
 
 def query(name: str, sql: str | None = None):
@@ -30,6 +29,10 @@ def series(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return table(spark, sf_dir, "silver").filter(F.col("data_type") == kind).select("reading_id", "site_id", "data_type", "timestamp", v.alias("value"))
 
 
+def blocks(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return qc.blocked(series(spark, sf_dir, kind))
+
+
 def base(kind: str) -> str:
     """Common start of the SQL: rows ``s`` with value v, previous values, step d and number rn."""
     return f"""WITH s0 AS (SELECT reading_id, site_id, timestamp AS ts, CASE WHEN isnan(value) THEN NULL ELSE value END AS v FROM silver WHERE data_type = '{kind}'),
@@ -52,7 +55,7 @@ t4 AS (SELECT *, max(hit) OVER ({W} ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) =
 def _flow(name: str, sql_test: str, column, extra: str = "", source: str = "s"):
     @query(name, base("Q") + extra + f" SELECT reading_id, coalesce({sql_test}, false) AS flagged FROM {source}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return column(series(spark, sf_dir, "Q")).select("reading_id", "flagged")
+        return column(blocks(spark, sf_dir, "Q")).filter("_own").select("reading_id", "flagged")
 
     return run
 
@@ -74,7 +77,7 @@ _flow("qc_truncation_high", "len >= 4 AND r >= qh", lambda df: qc.add_truncation
 def _check(kind: str, name: str, sql_test: str, column, extra: str = "", source: str = "s"):
     @query(name, base(kind) + extra + f" SELECT reading_id, coalesce({sql_test}, false) AS flagged FROM {source}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return column(series(spark, sf_dir, kind)).select("reading_id", "flagged")
+        return column(blocks(spark, sf_dir, kind)).filter("_own").select("reading_id", "flagged")
 
 
 _SPIKE = f""", x AS (SELECT *, md + 5 * smad AS lim, min(d) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS back FROM s JOIN m2 USING (site_id)),
@@ -131,7 +134,8 @@ SELECT reading_id, max(hit) OVER ({W} ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)
 )
 def qc_h_stage_flow_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     h, q = series(spark, sf_dir, "H").withColumnRenamed("value", "stage"), series(spark, sf_dir, "Q").select("site_id", "timestamp", F.col("value").alias("flow"))
-    return qc.add_stage_flow_consistency(h.join(q, ["site_id", "timestamp"]), SPEC).select("reading_id", "inconsistent")
+    both = qc.blocked(h.join(q, ["site_id", "timestamp"]), value="stage")
+    return qc.add_stage_flow_consistency(both, SPEC).filter("_own").select("reading_id", "inconsistent")
 
 
 _Y = (
@@ -145,8 +149,8 @@ y AS (SELECT reading_id, CASE WHEN rel AND ab THEN 8 WHEN dr AND (neg OR tl) THE
 
 @query("y_code", _Y + " SELECT reading_id, code, CASE WHEN code = 0 THEN 1 WHEN code IN (1, 8, 9) THEN 4 ELSE 3 END AS flag FROM y")
 def y_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = qc.flow_checks(series(spark, sf_dir, "Q"), SPEC).withColumn("code", qc.y_code())
-    return df.select("reading_id", "code", qc.y_flag(F.col("code")).alias("flag"))
+    df = qc.flow_checks(blocks(spark, sf_dir, "Q"), SPEC).withColumn("code", qc.y_code())
+    return df.filter("_own").select("reading_id", "code", qc.y_flag(F.col("code")).alias("flag"))
 
 
 _H = (
@@ -161,8 +165,8 @@ k AS (SELECT reading_id, CASE WHEN coalesce(v < -5 OR v > 20, false) THEN 1 WHEN
 
 @query("h_code", _H + " SELECT reading_id, code, CASE WHEN code = 0 THEN 1 ELSE 3 END AS flag FROM k")
 def h_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = qc.stage_checks(series(spark, sf_dir, "H"), SPEC, min_datum=-5.0, max_credible=20.0).withColumn("code", qc.h_code())
-    return df.select("reading_id", "code", qc.h_flag(F.col("code")).alias("flag"))
+    df = qc.stage_checks(blocks(spark, sf_dir, "H"), SPEC, min_datum=-5.0, max_credible=20.0).withColumn("code", qc.h_code())
+    return df.filter("_own").select("reading_id", "code", qc.h_flag(F.col("code")).alias("flag"))
 
 
 _P = (
@@ -174,5 +178,5 @@ k AS (SELECT reading_id, CASE WHEN coalesce(v < 0, false) THEN 1 WHEN coalesce(m
 
 @query("p_code", _P + " SELECT reading_id, code, CASE WHEN code = 0 THEN 1 WHEN code IN (1, 5) THEN 4 ELSE 3 END AS flag FROM k")
 def p_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = qc.rain_checks(series(spark, sf_dir, "P"), SPEC).withColumn("code", qc.p_code())
-    return df.select("reading_id", "code", qc.p_flag(F.col("code")).alias("flag"))
+    df = qc.rain_checks(blocks(spark, sf_dir, "P"), SPEC).withColumn("code", qc.p_code())
+    return df.filter("_own").select("reading_id", "code", qc.p_flag(F.col("code")).alias("flag"))
