@@ -6,6 +6,9 @@ take the ``CONTEXT`` rows on either side along, so a window over rows looks the
 
 Statistics of whole series (medians, deviations, quantiles) come from the distribution of values, counted before the shuffle:
 exact, and the work of one task is bounded by the different values of a series, not by its rows.
+
+Defined results: rows with a NULL key are left out, rows without a time come first; a series without values has NULL
+statistics; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -77,9 +77,19 @@ def disaggregate(df: DataFrame, period: str, at: str = "timestamp", value: str =
     return df.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn(at, F.timestamp_micros(us).cast(kind)).withColumn(value, F.col(value) / n).drop("_i")
 
 
-def cumulative(value: Column, keys: list[str], order: list[str]) -> Column:
-    """Running sum in which NULL counts as nothing."""
-    return F.sum(F.coalesce(value, F.lit(0.0))).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+def add_cumulative(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, str]) -> DataFrame:
+    """Add running sums (new column -> value column) in which NULL counts as nothing.
+
+    Summed within (series, day); a summary of one row per series and day gives what came before, so no series is one task.
+    A row without a time comes first; rows with a NULL key are left out.
+    """
+    x = df.withColumn("_day", F.coalesce(F.to_date(order[0]), F.lit("0001-01-01").cast("date")))
+    days = x.groupBy(*keys, "_day").agg(*[F.sum(F.coalesce(F.col(v), F.lit(0.0))).alias(f"_d_{out}") for out, v in totals.items()])
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(*keys, "_day", *[F.coalesce(F.sum(f"_d_{out}").over(before), F.lit(0.0)).alias(f"_b_{out}") for out in totals])
+    w = Window.partitionBy(*keys, "_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_r_{out}": F.sum(F.coalesce(F.col(v), F.lit(0.0))).over(w) for out, v in totals.items()}).join(days, [*keys, "_day"])
+    return x.withColumns({out: F.col(f"_b_{out}") + F.col(f"_r_{out}") for out in totals}).drop("_day", *[f"_{p}_{out}" for out in totals for p in "br"])
 
 
 def to_volume(kind: str, value: Column, period: str, units: str = "Ml", weight: float = 1.0, area_km2: float = 1.0, pe_daily: Column | None = None) -> Column:
@@ -103,4 +113,4 @@ def combine(*parts: DataFrame, at: str = "timestamp", value: str = "value") -> D
 def double_mass(x: DataFrame, y: DataFrame, keys: list[str], at: str = "timestamp", value: str = "value") -> DataFrame:
     """Running totals of two series at their common times."""
     j = x.select(*keys, at, F.col(value).alias("x")).join(y.select(*keys, at, F.col(value).alias("y")), [*keys, at])
-    return j.select(*keys, at, cumulative(F.col("x"), keys, [at]).alias("cum_x"), cumulative(F.col("y"), keys, [at]).alias("cum_y"))
+    return add_cumulative(j, keys, [at], {"cum_x": "x", "cum_y": "y"}).select(*keys, at, "cum_x", "cum_y")

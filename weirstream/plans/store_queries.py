@@ -501,7 +501,7 @@ def disagg_hourly(spark: SparkSession, d: str) -> DataFrame:
 @query("cumsum", "SELECT reading_id, round(sum(coalesce(CASE WHEN isnan(value) THEN NULL ELSE value END, 0)) OVER (PARTITION BY site_id ORDER BY timestamp, reading_id ROWS UNBOUNDED PRECEDING), 4) AS total FROM silver WHERE data_type = 'P'")
 def cumsum(spark: SparkSession, d: str) -> DataFrame:
     s = clean(table(spark, d, "silver").filter("data_type = 'P'"))
-    return s.select("reading_id", F.round(pe.cumulative(F.col("value"), ["site_id"], ["timestamp", "reading_id"]), 4).alias("total"))
+    return pe.add_cumulative(s, ["site_id"], ["timestamp", "reading_id"], {"total": "value"}).select("reading_id", F.round("total", 4).alias("total"))
 
 
 @query("to_volume", "SELECT reading_id, data_type, CASE data_type WHEN 'Q' THEN value * 0.9 ELSE value * 12.5 END AS volume FROM silver WHERE data_type IN ('Q', 'P') AND NOT isnan(value)")
