@@ -39,8 +39,8 @@ def as_known(
         F.col(entity).alias("e"), F.col(event_id).alias("event"), F.unix_micros(F.col(event_time).cast("timestamp")).alias("t")
     ).filter(F.col("e").isNotNull() & F.col("t").isNotNull())
     ev = ev.withColumn("day", floor_div(F.col("t"), DAY_US))
-    # open windows reach to the last day on which anything happened: one number for the whole table
-    last_day = ev.agg(F.max("day").alias("last_day"), F.min("day").alias("first_day"))
+    # open windows reach to the last day on which anything happened: scalar subqueries, two numbers for the whole table
+    bound = ev.agg(F.struct(F.max("day").alias("last"), F.min("day").alias("first")).alias("b")).scalar()
     lo, hi = day_number(F.col(start)).cast("bigint"), day_number(F.col(end)).cast("bigint")
     vs = (
         versions.select(
@@ -54,10 +54,10 @@ def as_known(
         )
         .filter("e is not null and id is not null and rank is not null and lo is not null and known is not null and (open or hi >= lo)")
         .distinct()
-        .crossJoin(F.broadcast(last_day))  # one row
-        .withColumn("hi", F.least(F.coalesce("hi", "last_day"), F.col("last_day")))
+        .withColumn("bound", bound)
+        .withColumn("hi", F.least(F.coalesce("hi", "bound.last"), F.col("bound.last")))
         .withColumn("from_t", F.greatest(F.col("lo") * DAY_US, F.col("known")))
-        .withColumn("from_day", F.greatest(floor_div(F.col("from_t"), DAY_US), F.col("first_day")))
+        .withColumn("from_day", F.greatest(floor_div(F.col("from_t"), DAY_US), F.col("bound.first")))
         .filter("from_day <= hi")
     )
     best = F.max(F.struct("rank", "id")).alias("best")
