@@ -177,6 +177,12 @@ def silver_readings(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.silver_readings(table(spark, d, "silver").filter(F.col("site_id").isin("100000", "100001"))).withColumn("date", F.col("date").cast("string"))
 
 
+@query("silver_readings_all", "SELECT timestamp AS dateTime, strftime(timestamp, '%Y-%m-%d') AS date, qc_value AS value, value AS raw_value, dataset_id AS measure_notation, qc_y_code, qc_h_code, qc_p_code FROM silver")
+def silver_readings_all(spark: SparkSession, d: str) -> DataFrame:
+    """The readings of all gauges."""
+    return pipeline.silver_readings(table(spark, d, "silver")).withColumn("date", F.col("date").cast("string"))
+
+
 # deduplication and alignment
 
 _DEDUP = "SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY site_id, data_type, timestamp ORDER BY reading_id {}) AS k FROM bronze) WHERE k = 1"
