@@ -9,7 +9,7 @@ from weirstream.functions import vocab
 from weirstream.functions.timefn import period_seconds
 from weirstream.operators import align, catalogue, export, gaps, pe, qc, rating
 from weirstream.operators.qc import Spec
-from weirstream.plans import pipeline
+from weirstream.plans import flow_queries, pipeline
 from weirstream.sources.api import parse_props
 from weirstream.sources.tables import table, usable
 from weirstream.streaming.stream import run_dedup
@@ -266,6 +266,18 @@ def promote(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("snapped").alias("snapped"))
 
 
+_PROMOTED = _SNAP.replace(" WHERE data_type = 'H'", "") + f""", silver AS (SELECT reading_id, site_id, data_type, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM k WHERE (g OR held = 0) AND site_id IS NOT NULL AND data_type IS NOT NULL),
+cy AS ({flow_queries._Y} SELECT reading_id, code FROM y), ch AS ({flow_queries._H.replace("coalesce(v < -5 OR v > 20, false)", "false")} SELECT reading_id, code FROM k), cp AS ({flow_queries._P} SELECT reading_id, code FROM k),
+c AS (SELECT silver.*, cy.code AS y, ch.code AS h, cp.code AS p FROM silver LEFT JOIN cy USING (reading_id) LEFT JOIN ch USING (reading_id) LEFT JOIN cp USING (reading_id)),
+f AS (SELECT *, CASE WHEN coalesce(y, h, p, 0) = 0 THEN CASE WHEN snapped THEN 2 ELSE 1 END WHEN y IN (1, 8, 9) OR p IN (1, 5) THEN 4 ELSE 3 END AS qc_flag FROM c)"""
+
+
+@query("promote_all", _PROMOTED + " SELECT reading_id, site_id, data_type, timestamp, snapped, qc_flag, CASE WHEN qc_flag < 4 THEN value END AS qc_value, y AS qc_y_code, h AS qc_h_code, p AS qc_p_code FROM f")
+def promote_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of the whole promotion, of all data types, with codes, flag and accepted value."""
+    return pipeline.promote(table(spark, d, "bronze")).select("reading_id", *KEYS, "timestamp", "snapped", "qc_flag", "qc_value", "qc_y_code", "qc_h_code", "qc_p_code")
+
+
 _STEPS = """WITH t AS (SELECT DISTINCT site_id, data_type, CAST(floor(epoch(timestamp)) AS BIGINT) AS t FROM silver),
 d AS (SELECT *, t - lag(t) OVER (PARTITION BY site_id, data_type ORDER BY t) AS d FROM t),
 s AS (SELECT site_id, data_type, min(t) AS t0, max(t) AS t1, count(*) AS n, CAST(floor(quantile_cont(d, 0.5)) AS BIGINT) AS step FROM d GROUP BY 1, 2)"""
