@@ -56,3 +56,12 @@ def test_promotion_of_every_type_to_codes_and_flags(spark, tmp_path):
     assert at[130][p_code] == 5 and at[140][p_code] == 1 and at[140][flag] == (4,)  # rain that falls back, negative rain
     assert at[185][3:7] == (T0, True, 2, -3.0) and at[185][y:] == (None, None, None)  # a type without checks, snapped
     assert 0 not in at and 180 in at and 184 not in at and 186 not in at
+
+
+def test_snapping_of_every_type(spark, tmp_path):
+    rows = [("a", k, m, 1.0) for k in ("Q", "H", "P", "SM", None) for m in (0, 4, 20, 20, None)] + [(None, "Q", 8, None)]
+    put(spark, tmp_path, "bronze", bronze(rows), BRONZE)
+    got, want = both(spark, tmp_path, "snap_offgrid_all", "bronze")
+    assert got == want
+    first = T0 + dt.timedelta(minutes=15)
+    assert got == Counter([x for i in range(0, 25, 5) for x in ((i, False, T0), (i + 3, True, first))] + [(25, True, first)])  # 8 minutes are nearer to 15

@@ -214,6 +214,16 @@ def snap_offgrid(spark: SparkSession, d: str) -> DataFrame:
     return align.snap_offgrid(b).select("reading_id", "snapped", "timestamp")
 
 
+_SNAP_ALL = _SNAP.replace(" WHERE data_type = 'H'", "")
+
+
+@query("snap_offgrid_all", _SNAP_ALL + " SELECT reading_id, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp FROM k WHERE g OR held = 0")
+def snap_offgrid_all(spark: SparkSession, d: str) -> DataFrame:
+    """Readings of all data types on the grid."""
+    b = align.dedup(table(spark, d, "bronze"), [*KEYS, "timestamp"], "reading_id")
+    return align.snap_offgrid(b).select("reading_id", "snapped", "timestamp")
+
+
 @query("outer_align", "SELECT timestamp, max(value) FILTER (WHERE data_type = 'Q') AS Q, max(value) FILTER (WHERE data_type = 'H') AS H, max(value) FILTER (WHERE data_type = 'P') AS P FROM (SELECT timestamp, data_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM silver) GROUP BY 1")
 def outer_align(spark: SparkSession, d: str) -> DataFrame:
     return align.outer_align(clean(table(spark, d, "silver")), ["Q", "H", "P"], "data_type")
@@ -266,7 +276,7 @@ def promote(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("snapped").alias("snapped"))
 
 
-_PROMOTED = _SNAP.replace(" WHERE data_type = 'H'", "") + f""", silver AS (SELECT reading_id, site_id, data_type, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM k WHERE (g OR held = 0) AND site_id IS NOT NULL AND data_type IS NOT NULL),
+_PROMOTED = _SNAP_ALL + f""", silver AS (SELECT reading_id, site_id, data_type, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM k WHERE (g OR held = 0) AND site_id IS NOT NULL AND data_type IS NOT NULL),
 cy AS ({flow_queries._Y} SELECT reading_id, code FROM y), ch AS ({flow_queries._H.replace("coalesce(v < -5 OR v > 20, false)", "false")} SELECT reading_id, code FROM k), cp AS ({flow_queries._P} SELECT reading_id, code FROM k),
 c AS (SELECT silver.*, cy.code AS y, ch.code AS h, cp.code AS p FROM silver LEFT JOIN cy USING (reading_id) LEFT JOIN ch USING (reading_id) LEFT JOIN cp USING (reading_id)),
 f AS (SELECT *, CASE WHEN coalesce(y, h, p, 0) = 0 THEN CASE WHEN snapped THEN 2 ELSE 1 END WHEN y IN (1, 8, 9) OR p IN (1, 5) THEN 4 ELSE 3 END AS qc_flag FROM c)"""
