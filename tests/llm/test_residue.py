@@ -57,3 +57,23 @@ def test_cases(spark):
 def test_empty_and_repeated(spark):
     df = spark.createDataFrame([(1, "404 Not Found"), (1, "404 Not Found")], "doc_id bigint, text string")
     assert residue_rows(df).count() == 2 and residue_rows(df.limit(0)).count() == 0
+
+
+NOISY = {
+    "Please log-in again.": "error_page",
+    "Your session has timed, um, out.": "error_page",
+    "Oops! Something went uh wrong": "error_page",
+    "stack-trace": "error_page",
+    "We could<br>not find the page you asked, er, for.": "error_page",
+    "Bitte melden, Sie sich an.": "error_page",
+    "Impossible de<i>charger</i> la page": "error_page",
+    "body copy<b>goes</b> here": "filler",
+    "test-entry 12, please ignore": "filler",
+    "JS is disabled.": "scripts",
+}
+
+
+def test_messages_with_punctuation_tags_and_fillers_between_their_words(spark):
+    df = spark.createDataFrame(list(enumerate(NOISY)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in residue_rows(df).collect()}
+    assert [t for i, (t, kind) in enumerate(NOISY.items()) if i not in got or not got[i][kind]] == []
