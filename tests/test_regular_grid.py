@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from weirstream.operators.regular_grid import empty_cells, regular_grid
+from weirstream.plans import problems
 
 SCHEMA = "site_id string, data_type string, timestamp timestamp, value double, period string, reading_id bigint, v string, day string, slot int"
 T0 = dt.datetime(2024, 3, 1, 22, 0)
@@ -73,3 +74,16 @@ def test_against_brute_force(spark, data):
     want = {(k, i * 900) for k, x in held.items() for i in range(min(x), max(x) + 1) if i not in x}
     got = {(k[0], k[2]) for k, r in grid(spark, rows).items() if r.n_readings == 0}
     assert got == want
+
+
+def test_the_grid_query_returns_every_cell_with_its_amount(spark, tmp_path):
+    level = [(0, 1.0), (20, 3.0), (60, 5.0)]
+    rows = [("a", k, at(m), v, "15min") for k in ("Q", "H") for m, v in level] + [("b", "P", at(m), v, "15min") for m, v in ((0, 1.0), (10, 2.0), (45, 6.0))]
+    frame(spark, rows).write.parquet(str(tmp_path / "bronze.parquet"))
+    got = {(r.site_id, r.data_type, r.slot_start[11:16]): (r.n_readings, r.amount, r.covered_s, r.value, r.status) for r in problems.p1_grid(spark, str(tmp_path)).collect()}
+    want = {}
+    for k in ("Q", "H"):  # the mean of two readings over the time between; the last reading comes too late to say what was before
+        want |= {("a", k, "22:00"): (1, 1800.0, 900.0, 2.0, "observed"), ("a", k, "22:15"): (1, 600.0, 300.0, 2.0, "observed")}
+        want |= {("a", k, "22:30"): (0, None, 0.0, None, "gap"), ("a", k, "22:45"): (0, None, 0.0, None, "gap"), ("a", k, "23:00"): (1, None, 0.0, 5.0, "observed")}
+    want |= {("b", "P", "22:00"): (2, 3.0, 600.0, 3.0, "observed"), ("b", "P", "22:15"): (0, None, 0.0, None, "gap"), ("b", "P", "22:30"): (0, None, 0.0, None, "gap"), ("b", "P", "22:45"): (1, 6.0, 0.0, 6.0, "observed")}
+    assert got == {k: (n, a if a is None else pytest.approx(a), c, v if v is None else pytest.approx(v), s) for k, (n, a, c, v, s) in want.items()}

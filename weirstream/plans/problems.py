@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstream.functions.timefn import text_of_us
+from weirstream.functions.timefn import text_of_s, text_of_us
 from weirstream.operators.as_known import as_known
 from weirstream.operators.implausible import implausible, noted_tidal
 from weirstream.operators.interval_union import continuous_periods
@@ -62,6 +62,12 @@ def p1_grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("p1_grid")
+def p1_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the regular grid, filled and empty ones marked. The tables hold no counters; resets run in the tests only."""
+    return regular_grid(table(spark, sf_dir, "bronze")).select("site_id", "data_type", text_of_s(F.col("slot_start_s")).alias("slot_start"), "n_readings", "amount", "covered_s", "value", "status")
+
+
 @query(
     "p4_found",
     """
