@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from weirstream.functions.timefn import text_of_us
-from weirstream.operators.mixed_time import BACK, FOREIGN, _path, choose, interpretations
+from weirstream.operators import mixed_time
+from weirstream.operators.mixed_time import BACK, FOREIGN, NONE, SWITCH, choose, interpretations, path
 
 CASES = [
     ("2014-01-01T04:30:00Z", "dmy", None, "2014-01-01 04:30:00.000000"),
@@ -53,9 +54,63 @@ def test_blocks_repeat_their_lead_in_without_repeating_rows(spark):
     assert choose(interpretations(df.limit(0), "text", F.col("o"), F.col("z")), ["src"], "id", "id").count() == 0
 
 
-def test_path_avoids_backward_jumps_and_foreign_orders():
-    day = 86_400_000_000
-    states = [[("dmy", True, 10 * day), ("mdy", True, 2 * day)], [("dmy", True, 11 * day), ("mdy", True, 3 * day)]]
-    assert _path(states, ("dmy", 9 * day) and (9 * day, "dmy"), None) == [0, 0]
-    assert _path([[("dmy", False, 1), ("mdy", True, 0)]], (5, "dmy"), None) == [1] and FOREIGN > BACK
-    assert dt.timedelta(microseconds=day).days == 1
+def settle(spark, texts, order, zone="UTC"):
+    df = spark.createDataFrame([(i, "s", t, order, zone) for i, t in enumerate(texts)], "id bigint, src string, text string, o string, z string")
+    return {r.row: r.t for r in choose(interpretations(df, "text", F.col("o"), F.col("z")), ["src"], "id", "id").select("row", text_of_us(F.col("us")).alias("t")).collect()}
+
+
+def test_record_order_decides_where_no_order_is_declared(spark):
+    texts = ["30/01/2014 00:00", "31/01/2014 00:00", "01/02/2014 00:00", "02/02/2014 00:00", "03/02/2014 00:00", "13/02/2014 00:00"]
+    got = settle(spark, texts, None)
+    assert [got[i][:10] for i in range(6)] == ["2014-01-30", "2014-01-31", "2014-02-01", "2014-02-02", "2014-02-03", "2014-02-13"]
+    turned = ["01/30/2014 00:00", "02/01/2014 00:00", "02/02/2014 00:00", "02/03/2014 00:00", "02/13/2014 00:00"]
+    got = settle(spark, turned, None)
+    assert [got[i][:10] for i in range(5)] == ["2014-01-30", "2014-02-01", "2014-02-02", "2014-02-03", "2014-02-13"]
+    # without the path the first reading of each text would be taken
+    df = spark.createDataFrame([(t,) for t in turned], "text string")
+    first = [r.us for r in interpretations(df, "text", F.lit(None).cast("string"), F.lit("UTC")).select(F.col("readings")[0]["us"].alias("us")).collect()]
+    assert first != sorted(first)
+
+
+def test_a_declared_order_outweighs_the_neighbours_and_impossible_days_name_no_time(spark):
+    got = settle(spark, ["30/01/2014 00:00", "02/01/2014 00:00", "01/31/2014 00:00", "03/02/2014 00:00"], "dmy")
+    assert {k: v[:10] for k, v in got.items()} == {0: "2014-01-30", 1: "2014-01-02", 3: "2014-02-03"}
+
+
+def test_a_stretch_over_many_blocks_is_one_path(spark, monkeypatch):
+    monkeypatch.setattr(mixed_time, "BLOCK", 3)
+    # only the last record tells the order; eleven uncertain ones lie before it, over four blocks
+    days = [f"{d:02d}/{m:02d}/2014 00:00" for m, d in [(1, x) for x in range(2, 13)]]
+    got = settle(spark, [*days, "13/01/2014 00:00"], None)
+    assert [got[i][:10] for i in range(12)] == [f"2014-01-{d:02d}" for d in range(2, 14)]
+    got = settle(spark, [*[f"01/{d:02d}/2014 00:00" for d in range(2, 13)], "01/13/2014 00:00"], None)
+    assert [got[i][:10] for i in range(12)] == [f"2014-01-{d:02d}" for d in range(2, 14)]
+
+
+def test_path_against_all_paths():
+    import itertools
+    import random
+
+    def cost(states, before, after, way):
+        at = [before, *[s[i] for s, i in zip(states, way)], after]
+        total = sum(s[i][2] for s, i in zip(states, way))
+        for a, b in zip(at, at[1:]):
+            if a and b and a[0] and b[0]:
+                total += SWITCH * (a[0] != b[0]) + BACK * (b[1] < a[1])
+        return total
+
+    rng = random.Random(4)
+    for _ in range(200):
+        states = [[(rng.choice([None, "dmy", "mdy", "ymd"]), rng.randrange(9), rng.choice([0.0, NONE, FOREIGN])) for _ in range(rng.randrange(1, 4))] for _ in range(rng.randrange(1, 6))]
+        before, after = (rng.choice([None, ("dmy", 4, 0.0)]) for _ in range(2))
+        best = min(cost(states, before, after, w) for w in itertools.product(*[range(len(s)) for s in states]))
+        assert cost(states, before, after, path(states, before, after)) == best
+
+
+def test_moments_where_clocks_change():
+    zone = mixed_time.zone_of("Europe/London")
+    us = lambda *a: int((dt.datetime(*a) - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
+    assert mixed_time.moments(us(2014, 3, 30, 1, 30), zone) == ()
+    assert mixed_time.moments(us(2014, 10, 26, 1, 30, 5), zone) == (us(2014, 10, 26, 0, 30, 5), us(2014, 10, 26, 1, 30, 5))
+    assert mixed_time.moments(us(2014, 6, 1, 1), zone) == (us(2014, 6, 1, 0),) and mixed_time.zone_of("No/Where") is None
+    assert mixed_time.moments(us(2014, 6, 1, 1), mixed_time.zone_of("-03:30")) == (us(2014, 6, 1, 4, 30),)

@@ -1,10 +1,3 @@
 """Hydrometric time-series engine on PySpark: ingest, quality control, rating, catalogue and export as DataFrame plans."""
 
-import sys
-
-from pyspark import cloudpickle
-
-__version__ = "0.1.0"
-
-# functions that run on workers travel with the job, so the package need not be installed there
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+__version__ = "0.2.0"

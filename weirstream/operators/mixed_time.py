@@ -2,237 +2,229 @@
 
 ``interpretations`` gives every value the array of all its valid readings: each notation and order of day, month and year
 that yields an existing date, times each UTC moment the local time may mean (two where a clock change repeats it, none
-where it is skipped). ``choose`` runs Viterbi over each source's record order: a reading costs ``FOREIGN`` if it departs
-from the order the source declares, ``SWITCH`` if its notation differs from the previous record's, ``BACK`` if its time
-lies before the previous record's. A value is settled only if its chosen reading follows the declared order and no other
-such reading gives another moment; else it names no time.
+where it is skipped). ``choose`` runs Viterbi over each source's record order, over all those readings:
 
-Defined results: NULL, empty and blank texts, texts without a time of day, impossible parts and unknown zones have no
-interpretation; a text with a zone needs no source; ties in record order are taken in order of id; an empty table gives an
-empty result.
+* A reading that departs from the order the source declares costs ``FOREIGN``. Where no reading follows it, "names no
+  time" is one more state, at ``NONE``. A source that declares no order leaves all orders free, and the path decides.
+* A record in another notation than the one before costs ``SWITCH``, a time before the previous one ``BACK``; steps from
+  and to "names no time" cost nothing.
+
+The path is the cheapest over the whole source, however long a stretch of uncertain records is. What it gives is checked
+by one rule after: a value whose notation on the path has two moments (a repeated local time) names no one time.
 
-Plan: interpretations are built by JVM expressions without a shuffle. Records are then cut into (source, block of record
-numbers) with the ``CONTEXT`` records before each block repeated as its lead-in, so a source with a third of all rows is
-many tasks. Rows with one reading need no search: the loop in Python runs only over the ambiguous ones.
+Defined results: NULL, empty and blank texts, texts without a time of day, impossible parts and unknown zones have no
+reading; a text with a zone needs no source; an unknown order counts as none declared; ties in record order are taken in
+order of id, ties in cost in the order of ``ORDERS``; a record without number comes first; an empty table gives an empty
+result.
+
+Plan: interpretations are made in Arrow batches without a shuffle. A record with one reading fixes the path, so the
+stretches between such records are independent: a record belongs to the block of ``BLOCK`` record numbers in which the
+last fixed record before it lies. Finding that takes a window within (source, block) and a summary of one row per block;
+Viterbi then runs by (source, home block). A source with a third of all rows is many tasks.
 """
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirstream.functions.timefn import DAY_US, floor_div
-
-# Minutes east of Greenwich of the zone names that a text may carry.
-ZONE_MINUTES = {
-    "Z": 0, "UTC": 0, "UT": 0, "GMT": 0, "WET": 0,
-    "BST": 60, "WEST": 60, "CET": 60, "MET": 60,
-    "CEST": 120, "MEST": 120, "EET": 120, "EEST": 180,
-    "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420,
-}
-MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
-
-ORDERS = ("ymd", "dmy", "mdy")
-BLOCK, CONTEXT = 4096, 64
-FOREIGN, SWITCH, BACK = 1000.0, 1.0, 3.0
-
-_ZONE = r"(Z|[A-Z]{2,4}|[+-]\d{2}(?::?\d{2})?)"
-_CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?(?: ?([AP]M))?"
-_TAIL = rf"[T ] ?{_CLOCK}(?: ?{_ZONE})?$"
-_BLANK = r"[\s\u00a0\u2000-\u200b\u202f\u3000\ufeff]+"
-
-
-def known_zones(spark: SparkSession) -> list[str]:
-    """Zone names that the JVM knows; other names would stop the job."""
-    return sorted(spark._jvm.java.time.ZoneId.getAvailableZoneIds())
-
-
-def _int(c: Column) -> Column:
-    return F.when(c != "", c).cast("int")
+from weirstream.functions.timetext import ORDERS, clock_us, dates_of, day_number, minutes_east, take_apart
+
+BLOCK = 4096
+FOREIGN, NONE, SWITCH, BACK = 1000.0, 500.0, 1.0, 3.0
+READINGS = "array<struct<notation: string, agrees: boolean, us: bigint>>"
+_FIXED = re.compile(r"([+-])(0\d|1[0-7]):([0-5]\d)")
+_EPOCH = datetime.datetime(1970, 1, 1)
+
+
+@lru_cache(4096)
+def zone_of(name: str | None):
+    """Minutes east of Greenwich for a fixed zone, a zone with clock changes otherwise; None for an unknown name."""
+    from zoneinfo import ZoneInfo
+
+    if not name:
+        return None
+    m = _FIXED.fullmatch(name)
+    if m:
+        return (-1 if m.group(1) == "-" else 1) * (int(m.group(2)) * 60 + int(m.group(3)))
+    try:
+        return ZoneInfo(name)
+    except (KeyError, ValueError, OSError):
+        return None
+
+
+@lru_cache(262_144)
+def _quarter(zone, quarter: int) -> tuple[int, ...]:
+    """The moments at which the clocks of ``zone`` show the start of a quarter hour, in quarters of microseconds since 1970."""
+    local = _EPOCH + datetime.timedelta(microseconds=quarter * 900_000_000)
+    out = []
+    for fold in (0, 1):
+        t = local.replace(tzinfo=zone, fold=fold)
+        us = quarter * 900_000_000 - int(t.utcoffset().total_seconds() * 1e6)
+        back = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc) + datetime.timedelta(microseconds=us)
+        if back.astimezone(zone).replace(tzinfo=None) == local and us not in out:
+            out.append(us)
+    return tuple(sorted(out))
+
+
+def moments(local_us: int, zone) -> tuple[int, ...]:
+    """Every UTC moment at which the clocks of ``zone`` show ``local_us``: none, one or two. Clocks change at quarter hours."""
+    if isinstance(zone, int):
+        return (local_us - zone * 60_000_000,)
+    quarter, rest = divmod(local_us, 900_000_000)
+    if not -200_000_000 < quarter < 200_000_000:
+        return ()
+    return tuple(us + rest for us in _quarter(zone, quarter))
+
+
+def readings_of(text: str | None, order: str | None, zone) -> list[tuple[str, bool | None, int]]:
+    """All readings (notation, whether it follows the declared order; None if none is declared, microseconds since 1970 UTC)."""
+    got = take_apart(text)
+    if got is None:
+        return []
+    count, head, clock, named = got
+    if count is not None:
+        return [("count", True, count)]
+    t = clock_us(clock)
+    east = minutes_east(named) if named is not None else zone
+    if t is None or east is None:
+        return []
+    out = []
+    for notation, y, m, d in dates_of(head):
+        day = day_number(y, m, d)
+        if day is None:
+            continue
+        agrees = True if notation == "word" or notation == "ymd" and head[:4].isdigit() else None if order not in ORDERS else notation == order
+        out += [(notation, agrees, us) for us in moments(day * DAY_US + t, east)]
+    return out
 
 
 def interpretations(df: DataFrame, text: str, order: Column, zone: Column, out: str = "readings") -> DataFrame:
-    """Add ``out``: array of (notation, agrees, us), and ``names_time``: whether any reading gives an existing date and time of day.
+    """Add ``out``: the array of (notation, agrees, us) of every valid reading.
 
     ``order`` is the declared order of all-numeric days (ymd, dmy, mdy), ``zone`` the declared zone; either may be NULL.
     """
-    zones = known_zones(df.sparkSession)
-    cols = df.columns
-    raw = F.regexp_replace(F.regexp_replace(F.col(text), f"^{_BLANK}|{_BLANK}$", ""), _BLANK, " ")
-    p = df.withColumn("_up", F.upper(raw))
-    up = F.col("_up")
-    compact = rf"^(\d{{4}})(\d{{2}})(\d{{2}})T?(\d{{2}})(\d{{2}})(\d{{2}})?(?: ?{_ZONE})?$"
-    counts = r"^-?(?:\d{10}|\d{13}|\d{16})$"
-    # compact digits become the same text with separators; counts since 1970 are told apart by their length
-    p = p.withColumn("_count", F.when(up.rlike(counts), up).cast("bigint"))
-    spelled = F.when(
-        up.rlike(r"^\d{8}") & F.col("_count").isNull(),
-        F.regexp_replace(F.regexp_replace(up, compact, "$1-$2-$3 $4:$5:$6$7"), ":(?=$|[^0-9])", ""),
-    ).otherwise(up)
-    # one match per text: its groups, split apart
-    taken = lambda c, pattern, n: F.split(F.regexp_replace(c, pattern, "\x1f".join(f"${i}" for i in range(1, n + 1))), "\x1f")
-    p = p.withColumn("_g", F.when(F.col("_count").isNull(), taken(spelled, rf"^(.*?){_TAIL}", 7)))
-    p = p.withColumn("_g", F.when(F.size("_g") == 7, F.col("_g")))
-    part = lambda i: F.get("_g", F.lit(i))
-    p = p.withColumns(
-        {
-            "_head": part(0), "_h": _int(part(1)), "_mi": _int(part(2)), "_s": F.coalesce(_int(part(3)), F.lit(0)),
-            "_f": F.coalesce(_int(F.rpad(F.when(part(4) != "", F.substring(part(4), 1, 6)), 6, "0")), F.lit(0)),
-            "_ap": part(5), "_z": part(6),
-        }
-    )
-    h, ap = F.col("_h"), F.col("_ap")
-    hour = (
-        F.when(ap == "", F.when((h <= 23) | ((h == 24) & (F.col("_mi") == 0) & (F.col("_s") == 0) & (F.col("_f") == 0)), h))
-        .when((h >= 1) & (h <= 12), F.pmod(h, F.lit(12)) + F.when(ap == "PM", 12).otherwise(0))
-    )
-    named = F.create_map(*[x for k, v in ZONE_MINUTES.items() for x in (F.lit(k), F.lit(v))])
-    z = F.col("_z")
-    sign = F.when(z.startswith("-"), -1).otherwise(1)
-    zh, zm = _int(F.regexp_extract(z, r"^[+-](\d{2})", 1)), F.coalesce(_int(F.regexp_extract(z, r"^[+-]\d{2}:?(\d{2})$", 1)), F.lit(0))
-    offset = F.when(zh.isNotNull(), F.when((zh <= 18) & (zm <= 59), sign * (zh * 60 + zm))).otherwise(F.try_element_at(named, z))
-    num = r"^(\d{1,4})([-/.])(\d{1,2})\2(\d{1,4})$"
-    word = r"^(?:[A-Z]{3,9},? ?)?(\d{1,2})[- ]([A-Z]{3})[A-Z]*[- ,]+(\d{4}|\d{2})$"
-    hd = F.col("_head")
-    got = lambda pattern, n: F.when(hd.rlike(pattern), taken(hd, pattern, n))
-    p = p.withColumn("_num", got(num, 4)).withColumn("_word", F.when(F.col("_num").isNull(), got(word, 3)))
-    x = lambda c, i: F.get(c, F.lit(i))
-    p = p.withColumns(
-        {
-            "_clock": F.when((F.col("_mi") <= 59) & (F.col("_s") <= 59), (hour * 3600 + F.col("_mi") * 60 + F.col("_s")).cast("bigint") * 1_000_000 + F.col("_f")),
-            "_off": offset,
-            "_zoned": z != "",
-            "_a": x("_num", 0), "_b": x("_num", 2), "_c": x("_num", 3),
-            "_wd": _int(x("_word", 0)), "_wm": F.array_position(F.array(*[F.lit(m) for m in MONTHS]), x("_word", 1)).cast("int"), "_wy": x("_word", 2),
-        }
-    )
+    x = df.withColumns({"_text": F.col(text), "_order": order, "_zone": zone})
+    kept = df.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{out}` {READINGS}"
 
-    def day(y: Column, m: Column, d: Column) -> Column:
-        """Days since 1970, NULL where no such day exists."""
-        leap = (F.pmod(y, F.lit(4)) == 0) & ((F.pmod(y, F.lit(100)) != 0) | (F.pmod(y, F.lit(400)) == 0))
-        longest = F.when(m.isin(4, 6, 9, 11), 30).when(m == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
-        ok = (m >= 1) & (m <= 12) & (d >= 1) & (d <= longest) & (y >= 1)
-        return F.when(ok, F.unix_date(F.make_date(F.when(ok, y).otherwise(1970), F.when(ok, m).otherwise(1), F.when(ok, d).otherwise(1))))
-
-    def year(c: Column) -> Column:
-        return F.when(F.length(c) == 4, c.cast("int")).when(F.length(c) == 2, c.cast("int") + 2000)
-
-    def short(c: Column) -> Column:
-        return F.when((F.length(c) >= 1) & (F.length(c) <= 2), c.cast("int"))
-
-    a, b, c = (F.when(F.col(n) != "", F.col(n)) for n in ("_a", "_b", "_c"))
-    year_first = F.length(a) == 4
-    reading = lambda name, agrees, d: F.struct(F.lit(name).alias("notation"), agrees.alias("agrees"), d.alias("day"))
-    dates = F.array(
-        reading("word", F.lit(True), day(year(F.when(F.col("_wy") != "", F.col("_wy"))), F.col("_wm"), F.col("_wd"))),
-        reading("ymd", F.coalesce(year_first | (order == "ymd"), F.lit(False)), F.when(F.length(c) <= 2, day(year(a), short(b), short(c)))),
-        reading("dmy", F.coalesce(order == "dmy", F.lit(False)), day(year(c), short(b), short(a))),
-        reading("mdy", F.coalesce(order == "mdy", F.lit(False)), day(year(c), short(a), short(b))),
-    )
-    p = p.withColumn("_dates", F.filter(dates, lambda d: d["day"].isNotNull() & F.col("_clock").isNotNull()))
-    p = p.withColumn("_zone", F.when(zone.isin(zones) | zone.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$"), zone))
-    safe_zone = F.coalesce(F.col("_zone"), F.lit("UTC"))
-    fixed = safe_zone.rlike(r"^[+-]\d|^(Etc/)?(UTC|UCT|GMT|Zulu|Universal|Greenwich)$")
-    empty = F.expr("cast(array() as array<bigint>)")
-
-    def asked(local: Column, first: Column) -> Column:
-        """The moments at which the zone's clocks show ``local``: ``first`` or an hour or half an hour beside it."""
-        tries = F.transform(F.array(*[F.lit(m * 60_000_000) for m in (-60, -30, 0, 30, 60)]), lambda m: first + m)
-        return F.when(fixed, F.array(first)).otherwise(F.filter(tries, lambda u: F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(u), safe_zone)) == local))
-
-    def moments(d: Column) -> Column:
-        local = d["day"].cast("bigint") * DAY_US + F.col("_clock")
-        bound = F.transform(F.array(local), lambda t: F.struct(t.alias("t"), F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(t), safe_zone)).alias("u")))
-        return (
-            F.when(F.col("_zoned"), F.filter(F.array(local - F.col("_off").cast("bigint") * 60_000_000), lambda u: u.isNotNull()))
-            .when(F.col("_zone").isNotNull(), F.flatten(F.transform(bound, lambda x: asked(x["t"], x["u"]))))
-            .otherwise(empty)
-        )
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    counted = F.array(F.struct(F.lit("count").alias("notation"), F.lit(True).alias("agrees"), F.when(F.length(F.abs(F.col("_count")).cast("string")) <= 11, F.col("_count") * 1_000_000).when(F.length(F.abs(F.col("_count")).cast("string")) <= 14, F.col("_count") * 1000).otherwise(F.col("_count")).alias("us")))
-    readings = F.when(F.col("_count").isNotNull(), counted).otherwise(
-        F.flatten(F.transform(F.col("_dates"), lambda d: F.transform(moments(d), lambda u: F.struct(d["notation"].alias("notation"), d["agrees"].alias("agrees"), u.alias("us")))))
-    )
-    declared_date = F.exists(F.col("_dates"), lambda d: d["agrees"])
-    zone_ok = ~F.col("_zoned") | F.col("_off").isNotNull()
-    return p.withColumns({out: readings, "names_time": F.coalesce(F.col("_count").isNotNull() | (declared_date & zone_ok), F.lit(False))}).select(*cols, out, "names_time")
+        kind = pa.list_(pa.struct([("notation", pa.string()), ("agrees", pa.bool_()), ("us", pa.int64())]))
+        for batch in batches:
+            texts, orders, zones = (batch.column(c).to_pylist() for c in ("_text", "_order", "_zone"))
+            found = pa.array([readings_of(t, o, zone_of(z)) for t, o, z in zip(texts, orders, zones)], kind)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], found], names=[*kept, out])
+
+    return x.mapInArrow(run, schema)
 
 
 def choose(df: DataFrame, source: list[str], number: str, row: str, readings: str = "readings") -> DataFrame:
     """(row, us): the UTC microseconds of each value that is settled. ``number`` is the record number within its source."""
     s = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source]
-    n = F.size(F.col(readings))
-    block = floor_div(F.col(number).cast("bigint"), BLOCK)
-    # the running id keeps the filter from being pushed into, and repeating, the work of interpretations()
-    rows = df.withColumn("_id", F.monotonically_increasing_id()).filter((n > 0) & (F.col("_id") >= 0)).select(
+    r = F.col(readings)
+    fixed = (F.size(r) == 1) & ~F.coalesce(~r[0]["agrees"], F.lit(False))
+    rows = df.filter(F.size(r) > 0).select(
         F.concat_ws("\x1f", *s).alias("source"),
-        F.col(number).cast("bigint").alias("number"),
+        F.coalesce(F.col(number).cast("bigint"), F.lit(-(1 << 62))).alias("number"),
         F.col(row).alias("row"),
-        block.alias("own"),
-        n.alias("n"),
-        F.col(readings)[0]["us"].alias("us"),
-        F.col(readings)[0]["agrees"].alias("agrees"),
-        F.col(readings)[0]["notation"].alias("notation"),
-        F.when(n > 1, F.col(readings)).alias("many"),
+        F.when(fixed, F.struct(r[0]["us"].alias("us"), r[0]["notation"].alias("notation"))).alias("only"),
+        F.when(~fixed, r).alias("many"),
     )
-    # a record near the end of its block also leads into the next
-    near = F.pmod(F.col("number"), F.lit(BLOCK)) >= BLOCK - CONTEXT
-    rows = rows.withColumn("block", F.explode(F.when(near, F.array(F.col("own"), F.col("own") + 1)).otherwise(F.array("own"))))
+    rows = rows.withColumn("block", floor_div(F.col("number"), BLOCK))
+    inside = Window.partitionBy("source", "block").orderBy("number", "row").rowsBetween(Window.unboundedPreceding, 0)
+    met = F.count("only").over(inside) > 0
+    # one row per block: the last block before with a fixed record, and the first fixed record from this block on and after it
+    at = F.when(F.col("only").isNotNull(), F.struct("number", "row", "only"))
+    by_block = Window.partitionBy("source").orderBy("block")
+    onward = lambda a: F.first(F.col("first.only"), ignorenulls=True).over(by_block.rowsBetween(a, Window.unboundedFollowing))
+    blocks = (
+        rows.groupBy("source", "block")
+        .agg(F.min(at).alias("first"))
+        .select(
+            "source", "block", onward(0).alias("here"), onward(1).alias("later"),
+            F.last(F.when(F.col("first").isNotNull(), F.col("block")), ignorenulls=True).over(by_block.rowsBetween(Window.unboundedPreceding, -1)).alias("home_before"),
+        )
+    )
+    rows = rows.withColumn("met", met).join(blocks, ["source", "block"])
+    home = F.when(F.col("met"), F.col("block")).otherwise(F.coalesce("home_before", F.lit(-(1 << 62))))
+    after = F.when(F.col("many").isNotNull(), F.when(F.col("met"), F.col("later")).otherwise(F.col("here")))
+    rows = rows.select("source", home.alias("home"), "number", "row", "only", "many", after.alias("after"))
     schema = f"row {df.schema[row].dataType.simpleString()}, us bigint"
-    return rows.groupBy("source", "block").applyInPandas(_viterbi, schema)
+    return rows.groupBy("source", "home").applyInPandas(_viterbi, schema)
 
 
 def _viterbi(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The settled rows of the stretches that begin in one block. The stretches of a block follow on each other without break."""
     pdf = pdf.sort_values(["number", "row"], kind="stable").reset_index(drop=True)
-    us, agrees = pdf["us"].to_numpy(np.int64), pdf["agrees"].to_numpy(bool)
-    settled = agrees.copy()
-    many = np.flatnonzero(pdf["n"].to_numpy() > 1)
-    for stretch in _stretches(many):
-        i0 = stretch[0]
-        before = (us[i0 - 1], pdf["notation"].iat[i0 - 1]) if i0 else None
-        after = (us[stretch[-1] + 1], pdf["notation"].iat[stretch[-1] + 1]) if stretch[-1] + 1 < len(pdf) else None
-        states = [[(r["notation"], bool(r["agrees"]), int(r["us"])) for r in pdf["many"].iat[i]] for i in stretch]
-        for i, best in zip(stretch, _path(states, before, after)):
-            options = states[i - i0]
-            us[i] = options[best][2]
-            settled[i] = options[best][1] and len({u for _, a, u in options if a}) == 1
-    keep = settled & (pdf["own"].to_numpy() == pdf["block"].to_numpy())
+    only, many = pdf["only"].tolist(), pdf["many"].tolist()
+    us = np.array([o["us"] if o is not None else 0 for o in only], np.int64)
+    keep = np.array([o is not None for o in only], bool)
+    for stretch in _stretches(np.flatnonzero(~keep)):
+        a, z = stretch[0], stretch[-1]
+        before = _state(only[a - 1]) if a else None
+        after = _state(only[z + 1]) if z + 1 < len(only) else _state(pdf["after"].iat[z])
+        states = [_states(many[i]) for i in stretch]
+        for i, best in zip(stretch, path(states, before, after)):
+            name, t, _ = states[i - a][best]
+            if name is not None and sum(s[0] == name for s in states[i - a]) == 1:
+                us[i], keep[i] = t, True
     return pd.DataFrame({"row": pdf["row"][keep], "us": us[keep]})
 
 
+def _state(only) -> tuple | None:
+    return None if only is None else (only["notation"], int(only["us"]), 0.0)
+
+
+def _states(readings) -> list[tuple]:
+    """(notation, us, cost) of each reading, and the state that the text names no time where no reading follows the declared order."""
+    ranked = sorted(readings, key=lambda r: ORDERS.index(r["notation"]) if r["notation"] in ORDERS else -1)
+    out = [(r["notation"], int(r["us"]), FOREIGN if r["agrees"] is False else 0.0) for r in ranked]
+    return out if any(c == 0.0 for _, _, c in out) else [*out, (None, None, NONE)]
+
+
 def _stretches(index: np.ndarray) -> Iterator[list[int]]:
     """Runs of neighbouring positions: a record with one reading fixes the path, so the stretches between are independent."""
     if len(index):
         yield from (list(x) for x in np.split(index, np.flatnonzero(np.diff(index) > 1) + 1))
 
 
-def _path(states: list, before: tuple | None, after: tuple | None) -> list[int]:
-    def step(u0, n0, u1, n1):
-        return SWITCH * (n0 != n1) + BACK * (u1 < u0)
+def _step(a: tuple, b: tuple) -> float:
+    if a[0] is None or b[0] is None:
+        return 0.0
+    return SWITCH * (a[0] != b[0]) + BACK * (b[1] < a[1])
+
 
+def path(states: list[list[tuple]], before: tuple | None, after: tuple | None) -> list[int]:
+    """Index of the chosen state of each record: the cheapest way from ``before`` to ``after`` (None: free)."""
     cost, back = [], []
     for k, options in enumerate(states):
         now, came = [], []
-        for name, ok, u in options:
+        for s in options:
             if k:
-                ways = [c + step(pu, pn, u, name) for c, (pn, _, pu) in zip(cost, states[k - 1])]
-                b = int(np.argmin(ways))
+                ways = [c + _step(p, s) for c, p in zip(cost, states[k - 1])]
+                b = ways.index(min(ways))
                 c = ways[b]
             else:
-                b, c = -1, step(before[0], before[1], u, name) if before else 0.0
-            now.append(c + FOREIGN * (not ok))
+                b, c = -1, _step(before, s) if before else 0.0
+            now.append(c + s[2])
             came.append(b)
         cost = now
         back.append(came)
     if after:
-        cost = [c + step(u, n, after[0], after[1]) for c, (n, _, u) in zip(cost, states[-1])]
-    at = int(np.argmin(cost))
-    path = [at]
+        cost = [c + _step(s, after) for c, s in zip(cost, states[-1])]
+    at = cost.index(min(cost))
+    chosen = [at]
     for came in reversed(back[1:]):
         at = came[at]
-        path.append(at)
-    return path[::-1]
+        chosen.append(at)
+    return chosen[::-1]

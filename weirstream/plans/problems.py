@@ -103,8 +103,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_known(stage, table(spark, sf_dir, "ratings"))
 
 
-def _export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_rows(table(spark, sf_dir, "wiski_all_lines"), table(spark, sf_dir, "quality_codes"))
+def _export_rows(spark: SparkSession, sf_dir: str, with_readings: bool = False) -> DataFrame:
+    return parse_rows(table(spark, sf_dir, "wiski_all_lines"), table(spark, sf_dir, "quality_codes"), with_readings=with_readings)
 
 
 @query("p3_found")
@@ -123,10 +123,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = (
         table(spark, sf_dir, "bronze_landing")
         .select("landing_id", "timestamp", "feed")
-        .join(F.broadcast(table(spark, sf_dir, "feeds").select("feed", "zone", "day_order").dropDuplicates(["feed"])), "feed", "left")  # a fixed list of feeds
+        .join(table(spark, sf_dir, "feeds").groupBy("feed").agg(F.min("zone").alias("zone"), F.min("day_order").alias("day_order")), "feed", "left")
     )
     landing = interpretations(landing, "timestamp", F.lower(F.trim("day_order")), F.col("zone"))
-    exports = _export_rows(spark, sf_dir).filter("reason is null")
+    exports = _export_rows(spark, sf_dir, with_readings=True).filter("reason is null").select("line_id", "line_no", "file", "readings")
     found = choose(landing, ["feed"], "landing_id", "landing_id").select(F.lit("bronze_landing").alias("table_name"), F.col("row").alias("row_id"), "us")
     found = found.unionByName(choose(exports, ["file"], "line_no", "line_id").select(F.lit("wiski_all_lines").alias("table_name"), F.col("row").alias("row_id"), "us"))
     return found.select("table_name", "row_id", text_of_us(F.col("us")).alias("utc_time"))

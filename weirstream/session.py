@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +18,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+    ship(spark)
     return spark
 
 
@@ -35,24 +40,51 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set (tests, one machine)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = where.get() if where.isDefined() else None
+    """The shared folder named by ``spark.checkpoint.dir``. Only on one machine (tests) may it be unset; a temporary folder is taken there."""
+    where = _named_dir(spark)
     if not where:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="weirstream-checkpoint-")
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through files in the shared checkpoint folder; the copy survives the loss of executors."""
-    spark = df.sparkSession
-    where = checkpoint_dir(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+def _named_dir(spark: SparkSession) -> str | None:
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        where = set_dir.get() if set_dir.isDefined() else None
+    return where
+
+
+def ship(spark: SparkSession) -> None:
+    """Let workers import this package, once per application: its source as one zip file, in the shared folder where one is named."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weirstream_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for folder, _, names in sorted(os.walk(root)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        with open(full, "rb") as f:
+                            z.writestr(zipfile.ZipInfo(os.path.join("weirstream", os.path.relpath(full, root))), f.read())
+        data = packed.getvalue()
+        where = _named_dir(spark) or tempfile.mkdtemp(prefix="weirstream-code-")
+        # a name of its own for each application, so that no other one reads a half-written file
+        path = f"{where.rstrip('/')}/weirstream-{hashlib.sha256(data).hexdigest()[:16]}-{uuid.uuid4().hex[:8]}.zip"
+        jvm = spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        out.write(bytearray(data))
+        out.close()
+        sc.addPyFile(path)
+    sc._weirstream_shipped = True
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -61,3 +93,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Delete the files of staged tables that nothing will read any more."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
