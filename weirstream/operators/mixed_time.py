@@ -20,7 +20,8 @@ result.
 Plan: interpretations are made in Arrow batches without a shuffle. A record with one reading fixes the path, so the
 stretches between such records are independent: a record belongs to the block of ``BLOCK`` record numbers in which the
 last fixed record before it lies. Finding that takes a window within (source, block) and a summary of one row per block;
-Viterbi then runs by (source, home block). A source with a third of all rows is many tasks.
+Viterbi then runs by (source, home block). A source with a third of all rows is many tasks. The readings are written to the
+shared checkpoint folder once, as both the rows and the summary need them.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from weirstream.functions.timefn import DAY_US, floor_div
 from weirstream.functions.timetext import ORDERS, clock_us, dates_of, day_number, minutes_east, take_apart
+from weirstream.session import staged
 
 BLOCK = 4096
 FOREIGN, NONE, SWITCH, BACK = 1000.0, 500.0, 1.0, 3.0
@@ -45,6 +47,12 @@ _FIXED = re.compile(r"([+-])(0\d|1[0-7]):([0-5]\d)")
 _EPOCH = datetime.datetime(1970, 1, 1)
 
 
+def arrow_readings():
+    import pyarrow as pa
+
+    return pa.list_(pa.struct([("notation", pa.string()), ("agrees", pa.bool_()), ("us", pa.int64())]))
+
+
 @lru_cache(4096)
 def zone_of(name: str | None):
     """Minutes east of Greenwich for a fixed zone, a zone with clock changes otherwise; None for an unknown name."""
@@ -119,17 +127,19 @@ def interpretations(df: DataFrame, text: str, order: Column, zone: Column, out:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("notation", pa.string()), ("agrees", pa.bool_()), ("us", pa.int64())]))
         for batch in batches:
             texts, orders, zones = (batch.column(c).to_pylist() for c in ("_text", "_order", "_zone"))
-            found = pa.array([readings_of(t, o, zone_of(z)) for t, o, z in zip(texts, orders, zones)], kind)
+            found = pa.array([readings_of(t, o, zone_of(z)) for t, o, z in zip(texts, orders, zones)], arrow_readings())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], found], names=[*kept, out])
 
     return x.mapInArrow(run, schema)
 
 
 def choose(df: DataFrame, source: list[str], number: str, row: str, readings: str = "readings") -> DataFrame:
-    """(row, us): the UTC microseconds of each value that is settled. ``number`` is the record number within its source."""
+    """(source, row, us): the UTC microseconds of each value that is settled.
+
+    ``number`` is the record number within its source; ``source`` is given back with its parts joined by a unit separator.
+    """
     s = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source]
     r = F.col(readings)
     fixed = (F.size(r) == 1) & ~F.coalesce(~r[0]["agrees"], F.lit(False))
@@ -140,7 +150,8 @@ def choose(df: DataFrame, source: list[str], number: str, row: str, readings: st
         F.when(fixed, F.struct(r[0]["us"].alias("us"), r[0]["notation"].alias("notation"))).alias("only"),
         F.when(~fixed, r).alias("many"),
     )
-    rows = rows.withColumn("block", floor_div(F.col("number"), BLOCK))
+    # the rows and the summary both need the readings; written once, they are not made twice
+    rows = staged(rows.withColumn("block", floor_div(F.col("number"), BLOCK)), "times")
     inside = Window.partitionBy("source", "block").orderBy("number", "row").rowsBetween(Window.unboundedPreceding, 0)
     met = F.count("only").over(inside) > 0
     # one row per block: the last block before with a fixed record, and the first fixed record from this block on and after it
@@ -159,11 +170,11 @@ def choose(df: DataFrame, source: list[str], number: str, row: str, readings: st
     home = F.when(F.col("met"), F.col("block")).otherwise(F.coalesce("home_before", F.lit(-(1 << 62))))
     after = F.when(F.col("many").isNotNull(), F.when(F.col("met"), F.col("later")).otherwise(F.col("here")))
     rows = rows.select("source", home.alias("home"), "number", "row", "only", "many", after.alias("after"))
-    schema = f"row {df.schema[row].dataType.simpleString()}, us bigint"
+    schema = f"source string, row {df.schema[row].dataType.simpleString()}, us bigint"
     return rows.groupBy("source", "home").applyInPandas(_viterbi, schema)
 
 
-def _viterbi(pdf: pd.DataFrame) -> pd.DataFrame:
+def _viterbi(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """The settled rows of the stretches that begin in one block. The stretches of a block follow on each other without break."""
     pdf = pdf.sort_values(["number", "row"], kind="stable").reset_index(drop=True)
     only, many = pdf["only"].tolist(), pdf["many"].tolist()
@@ -178,7 +189,7 @@ def _viterbi(pdf: pd.DataFrame) -> pd.DataFrame:
             name, t, _ = states[i - a][best]
             if name is not None and sum(s[0] == name for s in states[i - a]) == 1:
                 us[i], keep[i] = t, True
-    return pd.DataFrame({"row": pdf["row"][keep], "us": us[keep]})
+    return pd.DataFrame({"source": key[0], "row": pdf["row"][keep], "us": us[keep]})
 
 
 def _state(only) -> tuple | None:

@@ -126,10 +126,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "feeds").groupBy("feed").agg(F.min("zone").alias("zone"), F.min("day_order").alias("day_order")), "feed", "left")
     )
     landing = interpretations(landing, "timestamp", F.lower(F.trim("day_order")), F.col("zone"))
-    exports = _export_rows(spark, sf_dir, with_readings=True).filter("reason is null").select("line_id", "line_no", "file", "readings")
-    found = choose(landing, ["feed"], "landing_id", "landing_id").select(F.lit("bronze_landing").alias("table_name"), F.col("row").alias("row_id"), "us")
-    found = found.unionByName(choose(exports, ["file"], "line_no", "line_id").select(F.lit("wiski_all_lines").alias("table_name"), F.col("row").alias("row_id"), "us"))
-    return found.select("table_name", "row_id", text_of_us(F.col("us")).alias("utc_time"))
+    exports = _export_rows(spark, sf_dir, with_readings=True).filter("reason is null")
+    name = F.col("table_name")
+    records = landing.select(F.lit("bronze_landing").alias("table_name"), F.col("feed").alias("source"), F.col("landing_id").alias("number"), F.col("landing_id").alias("id"), "readings").unionByName(
+        exports.select(F.lit("wiski_all_lines").alias("table_name"), F.col("file").alias("source"), F.col("line_no").alias("number"), F.col("line_id").alias("id"), "readings")
+    )
+    found = choose(records, ["table_name", "source"], "number", "id").withColumn("table_name", F.split("source", "\x1f")[0])
+    return found.select(name, F.col("row").alias("row_id"), text_of_us(F.col("us")).alias("utc_time"))
 
 
 def _implausible(spark: SparkSession, sf_dir: str) -> DataFrame:

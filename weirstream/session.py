@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import io
 import os
@@ -88,17 +89,33 @@ def ship(spark: SparkSession) -> None:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: computed once, column-pruned on reuse."""
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back: computed once, column-pruned on reuse.
+
+    The files go when the application ends, or earlier by ``drop_staged``.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    keep_until_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(*frames: DataFrame) -> None:
-    """Delete the files of staged tables that nothing will read any more."""
-    for df in frames:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+_kept: dict[str, SparkSession] = {}
+
+
+def keep_until_end(spark: SparkSession, path: str) -> None:
+    """Note a folder of intermediate files, to be deleted when the application ends."""
+    if not _kept:
+        atexit.register(drop_staged)
+    _kept[path] = spark
+
+
+def drop_staged() -> None:
+    """Delete all intermediate files of this application."""
+    for path, spark in list(_kept.items()):
+        del _kept[path]
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session may be gone already; files that stay do no harm
+            return
