@@ -13,6 +13,11 @@ CASES = {
     "Sit semper ipsum felis lorem ornare elit amet.": "filler",
     "Costs have risen. Dummy speech for layout check 77.": "filler",
     "Text text text text.": "filler",
+    "Beispieltext Beispieltext Beispieltext": "filler",
+    "Content goes here.": "filler",
+    "We agree on this. The requested file cannot be opened at this time. 403 Forbidden": "error_page",
+    "Ceci n’a pas changé. Veuillez vous reconnecter.": "error_page",
+    "This site needs JavaScript. Please activate JavaScript.": "scripts",
     "404 Not Found": "error_page",
     "Mr Speaker, the prev… Error 500: the transcript you asked for is not available.": "error_page",
     "Access denied. You do not have permission to view sitting 307.": "error_page",
@@ -41,6 +46,13 @@ NONE = [
     "The paper went out with lorem ipsum on page 17, and nobody noticed.",
     "Members may wish to insert the words “or its successor” in clause 10.",
     "96% of staff and 5% of £404 a head; he says the session has expired.",
+    "clause 9 ordered to stand part of the bill a constituent showed me the screen 404 not found nothing else",
+    "She read out “Please log in again to see the record of the " + "very " * 200 + "long debate”, and sat down.",
+    "The clerk replied that the page could not be displayed, and nobody laughed.",
+    "The manual explains the variable {{constituency}} and the tag <%= seat %> in two lines.",
+    "The form said “Dear {{member}}, thank you”, and that was all.",
+    "Write `${topic}` where the topic goes.",
+    "My neighbour told me the session has expired and an error 404 came up.",
     "Use a field:\n```\nHello {{name}}\n```\nand that is all.",
 ]
 

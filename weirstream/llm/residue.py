@@ -8,9 +8,17 @@ Four kinds of remains are looked for, each by its own grammar over the whole tex
 * ``error_page``: messages of servers, log-ins and stack traces.
 * ``scripts``: notices that scripts are needed.
 
-Context is discounted first: code blocks are cut out, and so are quotations that are about such a message; phrases that
-a sentence merely talks about ("the word placeholder appears", "we were told to enable ...") are cut out with what they
-mention. A text in which the remains are only ever mentioned is no case.
+A match alone decides nothing; its surroundings are scored first, and what is only mentioned is cut out before the search:
+
+* code: fenced blocks and inline code;
+* quotation: what stands in quotation marks, however long, is reported speech (for fields only where at
+  most two words stand on either side of the field, as a field may also have been left in a quoted sentence);
+* reporting: the ``REACH`` words after a verb of saying, reading or showing, up to the next end of a clause, and what stands
+  as the subject of a judgement ("... is what they read", "... is not a policy");
+* tutorial: a field right after a word for template parts ("the variable {{x}}").
+
+Density decides where single words are innocent: stock Latin counts as a run of four, repeated words as a group three times
+over, and a message of one or two common words only where it fills its clause.
 
 Defined results: NULL, empty and blank texts are no cases; every text is searched whole; repeated rows are judged alike;
 an empty table gives an empty result; other columns are ignored.
@@ -20,9 +28,6 @@ Plan: JVM expressions in one narrow stage, no shuffle; scan reads ``doc_id`` and
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,11 +78,6 @@ TEMPLATE = {
     "(": [rf"\({_IDS}\s(?i:to be supplied|to be confirmed|to follow|wird nachgetragen|wird ergänzt|à compléter|à préciser|sera précisée?)\)"],
 }
 
-FILLER = [
-    r"\bplaceholder (?:copy|text) for\b", r"\bbody copy goes here\b", r"\b(?:dummy|sample) speech (?:for|body|text)\b", r"\btest entry \d+ please ignore\b",
-    r"\btext text text\b", r"\btexte? à venir\b", r"\bceci est un faux texte\b", r"\bfaux texte pour la mise en page\b", r"\bmustertext nr\b", r"\bdies ist ein blindtext\b",
-    r"\bblindtext für\b", r"\basdf asdf\b", r"\bx{3,} x{3,} x{3,}\b",
-]
 # Words of stock filler Latin that no language of the record shares.
 LATIN = (
     "lorem ipsum dolor amet consectetur adipiscing elit integer mauris tellus felis nibh nullam ornare porta pretium quisque semper varius vestibulum eiusmod tempor incididunt "
@@ -95,41 +95,57 @@ def _words(words: list[str]) -> str:
 
 LATIN_RUN = rf"\b(?:{_words(LATIN.split())}[ .,;:!?…]+){{3}}{_words(LATIN.split())}\b"
 
+# The words of the message grammars in three languages, by the part that they play.
+THING = "page|site|website|file|document|transcript|record|sitting|segment|debate|content|resource|service|server|seite|datei|dokument|protokoll|dienst|sitzung|ansicht|fichier|compte rendu|séance|contenu|ressource"
+REASON = (
+    "bad request|unauthori[sz]ed|payment required|forbidden|not found|method not allowed|request time ?out|conflict|gone|too many requests|internal server error|not implemented|"
+    "bad gateway|service unavailable|gateway time ?out"
+)
+FOR_NOW = "temporarily|currently|momentarily|vorübergehend|derzeit|momentan|momentanément|temporairement|actuellement"
+SCRIPT = "java ?script|js|scripts?|skripte?"
+SWITCH_ON = "enable|activate|allow|turn on|switch on|run"
+ASK = "please|veuillez|bitte"
+MOCK = "placeholder|dummy|sample|filler|template"
+REPORT = (
+    "said|says?|told|tells?|asked|asks?|showed|shows?|shown|reads?|wrote|writes?|written|began|begins?|describes?|described|quotes?|quoted|calls?|called|heard|replied|complained?|"
+    "sagt|sagte|las|lesen|liest|schrieb|schreibt|stand|steht|stehe|hieß|heißt|zeigte|zeigt|gefragt|aufgefordert|dit|disait|disent|lisent|lit|lire|écrit|affiche|montré|montre|contenait|demandé|faut|commençait"
+)
+REACH = 8
+
+FILLER = [
+    rf"\b(?:this is|here is|insert|replace this) (?:an? |the |some )?(?:{MOCK}) (?:copy|text|speech|body|paragraph)\b", rf"\b(?:{MOCK}) (?:copy|text|speech|body) (?:for|body|goes|text|only|please)\b",
+    r"\b(?:copy|text|content|speech) goes here\b", r"\breplace this \w+ before publishing\b", r"\btest (?:entry|record|page|document)(?: \w+)? please ignore\b",
+    r"\b(?:ceci est|voici) (?:un |du )?faux texte\b", r"\bfaux texte pour\b", r"\btextes? à venir\b", r"\b(?:dies|das|hier) ist (?:ein |nur )?(?:blind|muster|beispiel|platzhalter|füll)text\b", r"\b(?:blind|muster|beispiel|platzhalter|füll)text (?:für|nr)\b",
+    r"\b(text|texte|copy|blah?|qwer|asdf|mustertext|beispieltext|blindtext|foo)(?: \1){1,}\b(?: \w+)?(?: \1)?", r"\bx{3,}(?: x{2,}){2,}\b", r"\b(\p{L}+(?: \p{L}+){1,4}) \1 \1\b",
+]
 ERROR = [
-    r"\b[45]\d\d (?:not found|internal server error|forbidden|bad gateway|service unavailable|gateway time ?out|unauthorized|too many requests)\b",
-    r"\bbad gateway\b", r"\bservice (?:is )?temporarily unavailable\b", r"\bpage can ?t be displayed\b", r"\b(?:do not|don t) have permission to (?:view|access)\b",
-    r"\bplease log in again\b", r"\byour session has (?:expired|timed out)\b", r"\berror \d+ the \w+ you (?:asked for|requested)\b", r"\bserver met an unexpected condition\b",
-    r"\bfatal error\b", r"\btraceback most recent call last\b", r"\b(?:key|value|type|name|index)error [\w ]", r"\bnullpointerexception\b", r"\bstack trace\b",
-    r"\bzugriff verweigert\b", r"\bbitte melden sie sich an\b", r"\bfehler \d+ seite nicht gefunden\b",
-    r"\bcould not find the (?:document|page|transcript|record) you (?:requested|asked for)\b", r"\btoo many requests\b", r"\boops ?!? ?something went wrong\b", r"\bsomething went wrong reference\b",
-    r"\bcould not be loaded (?:connection|timeout|error)\b", r"\bkonnte nicht geladen werden\b", r"\bdienst ist vorübergehend nicht erreichbar\b", r"\bimpossible de charger (?:le|la|l|cette)\b",
-    r"\berreur \d+ page introuvable\b", r"\bservice est momentanément indisponible\b", r"\bveuillez vous (?:re)?connecter\b", r"\baccès refusé\b",
+    rf"\b[45]\d\d (?:{REASON})\b", r"\b(?:error|fehler|erreur)(?: code)? [1-9]\d\d\b", r"\b(?:bad gateway|too many requests|unexpected condition|fatal error|stack trace|null ?pointer ?exception)\b",
+    r"\btraceback most recent call last\b", r"\b\p{L}{2,}error [\p{L}_]", r"\b\p{L}{3,}exception(?: in| at)\b",
+    rf"\b(?:{THING}) (?:\w+ ){{0,2}}(?:can ?not|can ?t|could not|could ?n t) be (?:displayed|loaded|found|shown|opened|reached)\b", rf"\b(?:{THING}) (?:is |are |ist |est )?(?:{FOR_NOW}) (?:unavailable|not available|nicht erreichbar|nicht verfügbar|indisponible)\b",
+    rf"\bcould (?:not|n t) (?:find|load|open|display) (?:the |this |that )?(?:{THING}) (?:you|that you|at)\b", rf"\b(?:{THING}) you (?:have )?(?:asked for|requested|are looking for) (?:is not available|was not found|does not exist|could not|cannot)\b",
+    r"\bcould not be loaded(?: connection| timeout| error| \d|$)", rf"\b(?:{THING}) (?:konnte|kann) nicht (?:geladen|angezeigt|gefunden|geöffnet) werden\b", rf"\b(?:{THING}) nicht gefunden\b", r"\b(?:page|fichier|document) introuvable\b",
+    r"\bimpossible (?:de charger|d afficher|d ouvrir)\b", r"\boops ?something went wrong\b", r"\bsomething went wrong (?:reference|code|please|try)\b", rf"\b(?:{ASK}) (?:\w+ ){{0,2}}(?:log ?in|sign ?in|log on|connecter|reconnecter|anmelden)\b", r"\bbitte melden sie sich an\b",
+    r"\b(?:your|votre|ihre) (?:session|sitzung)(?: a| ist| has)? (?:has )?(?:expired|timed out|expiré|abgelaufen)\b", r"\b(?:do not|don t) have (?:the )?permission to (?:view|access|see|open)\b", r"\b(?:server|service|connection) (?:met an? |reset|refused|timed out)\b",
 ]
-#: As a sentence of its own, not as what someone reads.
-DENIED = r"(?:^|[.!?…|»”\]] ?)access denied(?: ?[.!|]| ?$| you do not)"
+#: Messages of one or two common words: only where they fill their clause.
+ALONE = r"(?:^|[.!?…|»”\]] ?)(?:access denied|accès refusé|zugriff verweigert|forbidden|permission denied)(?: ?[.!|]| ?$| you do not)"
 SCRIPTS = [
-    r"\bplease (?:enable|turn on|activate|allow) (?:java ?script|js|scripts|cookies)\b", r"\b(?:java ?script|scripts?|js) (?:is|are) (?:disabled|off|blocked|switched off|turned off|not enabled|required)\b",
-    r"\benable cookies and (?:js|java ?script)\b", r"\bchecking your browser before\b", r"\bneed to (?:allow|enable) (?:java ?script|scripts)\b", r"\b(?:player|page|site|app|viewer) requires (?:java ?script|scripts)\b",
-    r"\bturn them on in your browser\b", r"\bbitte aktivieren sie java ?script\b", r"\bbrowser führt keine skripte\b", r"\bbesoin de scripts pour fonctionner\b", r"\bveuillez activer java ?script\b",
-    r"\bactivez java ?script\b", r"\baktivieren sie (?:java ?script|skripte)\b",
+    rf"\b(?:{ASK}|need to|needs to|must|have to) (?:\w+ ){{0,3}}(?:{SWITCH_ON}) (?:\w+ ){{0,2}}(?:{SCRIPT}|cookies)\b", rf"(?:^|[.!?…|] ?)(?:enable|activez|autorisez) (?:\w+ ){{0,3}}(?:{SCRIPT})\b", rf"\b(?:{SCRIPT}) (?:is|are) (?:disabled|off|blocked|switched off|turned off|not enabled|required|needed)\b",
+    rf"\benable cookies and (?:{SCRIPT})\b", r"\bchecking your browser\b", rf"\b(?:{THING}|player|viewer|app) (?:requires|needs) (?:{SCRIPT})\b", r"\bturn them on in your browser\b", rf"\baktivieren sie (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
+    rf"\bbrowser (?:führt|unterstützt) keine? (?:{SCRIPT})\b", rf"\b(?:besoin|nécessite)(?: de| des)? (?:{SCRIPT})\b", rf"\b(?:{ASK}) (?:activer|autoriser) (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
 ]
 
-#: Fields that a speech quotes.
-MENTIONED_FIELDS = [r"“dear \[name\]", r"\bbegan (?:(?:uh|um|er|you know) )*[“\"]?dear (?:(?:uh|um|er|you know) )*\[name\]"]
+#: What is reported: the words after a verb of saying up to the end of the clause, and the subject of a judgement.
+MENTION = rf"\b(?:{REPORT})\b(?:(?: [\p{{L}}\p{{N}}]+){{0,{REACH - 1}}}? (?:{REPORT})\b)*(?: [\p{{L}}\p{{N}}]+){{1,{REACH}}}|(?:[\p{{L}}\p{{N}}]+ ){{1,4}}(?:is|was|are|were) (?:what|how|not an?|no|the word)\b"
+#: Words for the parts of a template: a field right after one is being explained.
+EXPLAINED = r"(?i)\b(?:variables?|placeholders?|tags?|tokens?|fields?|syntax|markers?|platzhalter|variablen?|balises?|champs?) (?:called |named |like |such as |namens |wie |nommée? |comme )?"
 
-#: What speeches say when they only talk about such things; cut out before the search.
-TALK = [
-    r"\bthe word \w+ appears\b", r"\bwent out with lorem ipsum\b", r"\bstand noch blindtext\b", r"\bencore du faux texte\b",
-    r"\binternal server error is not\b", r"\baccess denied is what\b", r"\bshowed me the screen [^.]{0,40}", r"\bwere told to enable java ?script\b", r"\basked to turn on scripts in my browser\b",
-    r"\bohne java ?script kein\b", r"\bil faut activer java ?script pour\b", r"\blisent «? ?page introuvable\b", r"\bfill in the blanks\b", r"\binsert the words\b",
-]
-
-
-#: Every message of FILLER, ERROR, DENIED and SCRIPTS contains all words of one of these; what stands between the words is left open, as plain() removes some of it.
+#: Every message holds one of these words.
 STEMS = (
-    "script", "skript", "js", "browser", "cookies", "found", "server", "forbidden", "gateway", "unavailable", "unauthorized", "displayed", "permission", "please log again", "expired", "session timed", "error",
-    "traceback", "nullpointer", "stack trace", "denied", "verweigert", "melden sich", "gefunden", "introuvable", "indisponible", "connecter", "refusé", "could loaded", "requests", "something wrong",
-    "geladen", "erreichbar", "impossible charger", "could find requested", "could find asked", "placeholder", "body copy goes", "dummy", "sample", "test entry ignore", "text", "xxx", "asdf",
+    "script", "skript", "js", "browser", "cookies", "found", "server", "request", "forbidden", "gateway", "unavailable", "available", "unauthori", "denied", "permission", "log in", "log-in", "login", "sign in", "sign-in",
+    "session", "sitzung", "expired", "error", "fehler", "erreur", "exception", "traceback", "trace", "load", "displayed", "shown", "opened", "reached", "verweigert", "melden", "gefunden", "geladen", "angezeigt", "geöffnet",
+    "erreichbar", "verfügbar", "introuvable", "indisponible", "connecter", "refusé", "charger", "afficher", "ouvrir", "wrong", "placeholder", "platzhalter", "dummy", "sample", "filler", "template", "copy", "goes", "publishing",
+    "ignore", "text", "blindtext", "muster", "beispiel", "füll", "xxx", "asdf", "qwer", "bla", "foo", "conflict", "gone", "condition", "connection", "timed", "exist",
 )
 
 
@@ -138,8 +154,8 @@ def _any(patterns: list[str]) -> str:
 
 
 def cleaned(text: Column) -> Column:
-    """The text with line-end hyphens joined, ligatures resolved, white space as single spaces, code blocks and mentions cut out."""
-    t = F.regexp_replace(text, r"(?s)```.*?```|~~~.*?~~~", " ")
+    """The text with code cut out, line-end hyphens joined, ligatures resolved and white space as single spaces."""
+    t = F.regexp_replace(text, r"(?s)```.*?```|~~~.*?~~~|`[^`\n]+`", " ")
     t = F.regexp_replace(t, r"(\p{L})-[ \t]*\r?\n\s*(\p{Ll})", "$1$2")
     t = F.regexp_replace(F.regexp_replace(t, "ﬁ", "fi"), "ﬂ", "fl")
     t = F.regexp_replace(t, r"[\s\u00a0\u200b\u202f\ufeff]+", " ")
@@ -148,13 +164,13 @@ def cleaned(text: Column) -> Column:
 
 def unquoted(t: Column) -> Column:
     """Without quotations: what stands in quotation marks is reported, not said by the publishing system."""
-    return F.regexp_replace(t, r"“[^”]{0,80}”|„[^“”]{0,80}[“”]|« [^»]{0,80} »", " quotation ")
+    return F.regexp_replace(t, r"“[^“”]*”|„[^„“”]*[“”]|« [^«»]* »", " quotation ")
 
 
 def plain(t: Column) -> Column:
-    """Lower case with punctuation as single spaces (sentence ends, brackets and bars kept), so that captions read like print."""
-    t = F.regexp_replace(F.lower(t), r"</?[a-z][a-z0-9]{0,10}>", " | ")
-    t = F.regexp_replace(t, r"\b(?:uh|um|er|you know)\b ?", "")
+    """Lower case with punctuation as single spaces; the ends of clauses are kept, and a capital after a small letter begins one."""
+    t = F.regexp_replace(t, r"</?[A-Za-z][A-Za-z0-9]{0,10}>", " | ")
+    t = F.regexp_replace(F.lower(F.regexp_replace(t, r"(?<=[\p{Ll}\p{N}]) (?=\p{Lu})", " | ")), r"\b(?:uh|um|er|you know)\b ?", "")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}.!?…|»”\[\]]+", " "), r" ?([.!?…|]) ?", " $1 "))
 
 
@@ -166,15 +182,20 @@ def _either(tests: list[Column]) -> Column:
     return _either(tests[:half]) | _either(tests[half:])
 
 
-def _holds(t: Column, stems: tuple[str, ...]) -> Column:
-    return _either([reduce(and_, [t.contains(x) for x in stem.split()]) for stem in stems])
-
-
 def _fields(t: Column) -> Column:
     """Whether any delimiter-specific grammar matches; each is tried only where its opening delimiter occurs."""
     return _either([t.contains(opening) & t.rlike(_any(patterns)) for opening, patterns in TEMPLATE.items()])
 
 
+_FIELD_LIKE = r"(?:[$#]?\{+[^{}]*\}+|\[+[^\[\]]*\]+|<+[^<>]*>+|%+[^%“”]*%+|\$\([^()]*\)|@@[^@“”]*@@|__[^“”]*?__)"
+
+
+def unmentioned(t: Column) -> Column:
+    """Without fields that are quoted by themselves, with at most two words on either side, or explained."""
+    quoted = rf"[“„\"](?:[\p{{L}}\p{{N}}]+,? ){{0,2}}{_FIELD_LIKE}(?:,? [\p{{L}}\p{{N}}]+){{0,2}}[.,:!?]?[”“\"]"
+    return F.regexp_replace(F.regexp_replace(t, quoted, " quotation "), rf"{EXPLAINED}{_FIELD_LIKE}", " mention ")
+
+
 def residue(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``template, filler, error_page, scripts`` (booleans, never NULL), and ``_once``, a running id.
 
@@ -182,12 +203,11 @@ def residue(df: DataFrame, text: str = "text") -> DataFrame:
     every intermediate form of the text and repeat them.
     """
     once = df.withColumn("_raw", cleaned(F.coalesce(F.col(text), F.lit(""))))
-    tpl = F.when(F.col("_raw").rlike(r"(?i)\[name\]"), F.regexp_replace("_raw", "(?i)" + _any(MENTIONED_FIELDS), " ")).otherwise(F.col("_raw"))
-    once = once.withColumn("_tpl", tpl)
+    once = once.withColumn("_tpl", unmentioned(F.col("_raw")))
     # the costlier forms of the text are made only where a stem of some message occurs
     once = once.withColumn("_low", F.lower("_raw"))
-    once = once.withColumn("_cand", _holds(F.col("_low"), STEMS))
-    say = F.regexp_replace(F.regexp_replace(plain(unquoted(F.col("_raw"))), r" [.!?…|] (?=[.!?…|])", " "), _any(TALK), " mention ")
+    once = once.withColumn("_cand", _either([F.col("_low").contains(x) for x in STEMS]))
+    say = F.regexp_replace(F.regexp_replace(plain(unquoted(F.col("_raw"))), r" [.!?…|] (?=[.!?…|])", " "), MENTION, " mention ")
     once = once.withColumn("_say", F.when(F.col("_cand"), say))
     once = once.withColumn("_flat", F.when(F.col("_cand"), F.regexp_replace(F.regexp_replace("_say", r"[.!?…|»”\[\]]", " "), " +", " ")))
     sure = lambda c: F.coalesce(c, F.lit(False))
@@ -195,7 +215,7 @@ def residue(df: DataFrame, text: str = "text") -> DataFrame:
         {
             "template": _fields(F.col("_tpl")),
             "filler": sure(F.col("_flat").rlike(_any(FILLER))) | F.col("_low").rlike(LATIN_RUN),
-            "error_page": sure(F.col("_flat").rlike(_any(ERROR)) | F.col("_say").rlike(DENIED)),
+            "error_page": sure(F.col("_flat").rlike(_any(ERROR)) | F.col("_say").rlike(ALONE)),
             "scripts": sure(F.col("_flat").rlike(_any(SCRIPTS))),
             "_once": F.monotonically_increasing_id(),
         }
