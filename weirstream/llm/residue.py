@@ -17,8 +17,8 @@ A match alone decides nothing; its surroundings are scored first, and what is on
   as the subject of a judgement ("... is what they read", "... is not a policy");
 * tutorial: a field right after a word for template parts ("the variable {{x}}").
 
-Density decides where single words are innocent: stock Latin counts as a run of four, repeated words as a group three times
-over, and a message of one or two common words only where it fills its clause.
+Density decides where single words are innocent: stock Latin counts as a run of four, a stock word where it is repeated, and a
+message of one or two common words only where it fills its clause.
 
 Defined results: NULL, empty and blank texts are no cases; every text is searched whole; repeated rows are judged alike;
 an empty table gives an empty result; other columns are ignored.
@@ -28,6 +28,9 @@ Plan: JVM expressions in one narrow stage, no shuffle; scan reads ``doc_id`` and
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,43 +115,48 @@ REPORT = (
 )
 REACH = 8
 
-FILLER = [
-    rf"\b(?:this is|here is|insert|replace this) (?:an? |the |some )?(?:{MOCK}) (?:copy|text|speech|body|paragraph)\b", rf"\b(?:{MOCK}) (?:copy|text|speech|body) (?:for|body|goes|text|only|please)\b",
-    r"\b(?:copy|text|content|speech) goes here\b", r"\breplace this \w+ before publishing\b", r"\btest (?:entry|record|page|document)(?: \w+)? please ignore\b",
-    r"\b(?:ceci est|voici) (?:un |du )?faux texte\b", r"\bfaux texte pour\b", r"\btextes? à venir\b", r"\b(?:dies|das|hier) ist (?:ein |nur )?(?:blind|muster|beispiel|platzhalter|füll)text\b", r"\b(?:blind|muster|beispiel|platzhalter|füll)text (?:für|nr)\b",
-    r"\b(text|texte|copy|blah?|qwer|asdf|mustertext|beispieltext|blindtext|foo)(?: \1){1,}\b(?: \w+)?(?: \1)?", r"\bx{3,}(?: x{2,}){2,}\b", r"\b(\p{L}+(?: \p{L}+){1,4}) \1 \1\b",
-]
-ERROR = [
-    rf"\b[45]\d\d (?:{REASON})\b", r"\b(?:error|fehler|erreur)(?: code)? [1-9]\d\d\b", r"\b(?:bad gateway|too many requests|unexpected condition|fatal error|stack trace|null ?pointer ?exception)\b",
-    r"\btraceback most recent call last\b", r"\b\p{L}{2,}error [\p{L}_]", r"\b\p{L}{3,}exception(?: in| at)\b",
-    rf"\b(?:{THING}) (?:\w+ ){{0,2}}(?:can ?not|can ?t|could not|could ?n t) be (?:displayed|loaded|found|shown|opened|reached)\b", rf"\b(?:{THING}) (?:is |are |ist |est )?(?:{FOR_NOW}) (?:unavailable|not available|nicht erreichbar|nicht verfügbar|indisponible)\b",
-    rf"\bcould (?:not|n t) (?:find|load|open|display) (?:the |this |that )?(?:{THING}) (?:you|that you|at)\b", rf"\b(?:{THING}) you (?:have )?(?:asked for|requested|are looking for) (?:is not available|was not found|does not exist|could not|cannot)\b",
-    r"\bcould not be loaded(?: connection| timeout| error| \d|$)", rf"\b(?:{THING}) (?:konnte|kann) nicht (?:geladen|angezeigt|gefunden|geöffnet) werden\b", rf"\b(?:{THING}) nicht gefunden\b", r"\b(?:page|fichier|document) introuvable\b",
-    r"\bimpossible (?:de charger|d afficher|d ouvrir)\b", r"\boops ?something went wrong\b", r"\bsomething went wrong (?:reference|code|please|try)\b", rf"\b(?:{ASK}) (?:\w+ ){{0,2}}(?:log ?in|sign ?in|log on|connecter|reconnecter|anmelden)\b", r"\bbitte melden sie sich an\b",
-    r"\b(?:your|votre|ihre) (?:session|sitzung)(?: a| ist| has)? (?:has )?(?:expired|timed out|expiré|abgelaufen)\b", r"\b(?:do not|don t) have (?:the )?permission to (?:view|access|see|open)\b", r"\b(?:server|service|connection) (?:met an? |reset|refused|timed out)\b",
-]
+#: Grammars of messages by the words without which none of them matches: ``|`` between alternatives, blanks between words that must all occur.
+FILLER = {
+    "placeholder|dummy|sample|filler|template": rf"\b(?:this is|here is|insert|replace this) (?:an? |the |some )?(?:{MOCK}) (?:copy|text|speech|body|paragraph)\b|\b(?:{MOCK}) (?:copy|text|speech|body) (?:for|body|goes|text|only|please)\b",
+    "goes here|replace publishing|test ignore": r"\b(?:copy|text|content|speech) goes here\b|\breplace this \w+ before publishing\b|\btest (?:entry|record|page|document)(?: \w+)? please ignore\b",
+    "faux texte|à venir": r"\b(?:ceci est|voici) (?:un |du )?faux texte\b|\bfaux texte pour\b|\btextes? à venir\b",
+    "blindtext|mustertext|beispieltext|platzhaltertext|fülltext": r"\b(?:dies|das|hier) ist (?:ein |nur )?(?:blind|muster|beispiel|platzhalter|füll)text\b|\b(?:blind|muster|beispiel|platzhalter|füll)text (?:für|nr)\b",
+    "text text|texte texte|copy copy|bla bla|blah blah|qwer qwer|asdf asdf|text, text|foo foo": r"\b(text|texte|copy|blah?|qwer|asdf|mustertext|beispieltext|blindtext|foo)(?: \1){1,}\b(?: \w+)?(?: \1)?",
+    "xxx": r"\bx{3,}(?: x{2,}){2,}\b",
+}
+ERROR = {
+    "40|41|42|50": rf"\b[45]\d\d (?:{REASON})\b",
+    "error|fehler|erreur": r"\b(?:error|fehler|erreur)(?: code)? [1-9]\d\d\b|\bfatal error\b|\b\p{L}{2,}error [\p{L}_]",
+    "gateway|many requests|unexpected condition|traceback|stack trace|stack-trace|exception": r"\b(?:bad gateway|too many requests|unexpected condition|stack trace|null ?pointer ?exception|traceback most recent call last)\b|\b\p{L}{3,}exception(?: in| at)\b",
+    "be displayed|be loaded|be found|be shown|be opened|be reached": rf"\b(?:{THING}) (?:\w+ ){{0,2}}(?:can ?not|can ?t|could not|could ?n t) be (?:displayed|loaded|found|shown|opened|reached)\b|\bcould not be loaded(?: connection| timeout| error| \d|$)",
+    "unavailable|not available|erreichbar|verfügbar|indisponible": rf"\b(?:{THING}) (?:is |are |ist |est )?(?:{FOR_NOW}) (?:unavailable|not available|nicht erreichbar|nicht verfügbar|indisponible)\b",
+    "could you|could at": rf"\bcould (?:not|n t) (?:find|load|open|display) (?:the |this |that )?(?:{THING}) (?:you|that you|at)\b",
+    "you asked for|you requested|you are looking": rf"\b(?:{THING}) you (?:have )?(?:asked for|requested|are looking for) (?:is not available|was not found|does not exist|could not|cannot)\b",
+    "nicht werden|nicht gefunden": rf"\b(?:{THING}) (?:konnte|kann) nicht (?:geladen|angezeigt|gefunden|geöffnet) werden\b|\b(?:{THING}) nicht gefunden\b",
+    "introuvable|impossible": r"\b(?:page|fichier|document) introuvable\b|\bimpossible (?:de charger|d afficher|d ouvrir)\b",
+    "something wrong": r"\boops ?something went wrong\b|\bsomething went wrong (?:reference|code|please|try)\b",
+    "please log|please sign|veuillez|bitte anmelden|bitte melden": rf"\b(?:{ASK}) (?:\w+ ){{0,2}}(?:log ?in|sign ?in|log on|connecter|reconnecter|anmelden)\b|\bbitte melden sie sich an\b",
+    "your session|votre session|ihre sitzung": r"\b(?:your|votre|ihre) (?:session|sitzung)(?: a| ist| has)? (?:has )?(?:expired|timed out|expiré|abgelaufen)\b",
+    "permission to": r"\b(?:do not|don t) have (?:the )?permission to (?:view|access|see|open)\b",
+    "server|service|connection": r"\b(?:server|service|connection) (?:met an? |reset|refused|timed out)\b",
+}
 #: Messages of one or two common words: only where they fill their clause.
 ALONE = r"(?:^|[.!?…|»”\]] ?)(?:access denied|accès refusé|zugriff verweigert|forbidden|permission denied)(?: ?[.!|]| ?$| you do not)"
-SCRIPTS = [
-    rf"\b(?:{ASK}|need to|needs to|must|have to) (?:\w+ ){{0,3}}(?:{SWITCH_ON}) (?:\w+ ){{0,2}}(?:{SCRIPT}|cookies)\b", rf"(?:^|[.!?…|] ?)(?:enable|activez|autorisez) (?:\w+ ){{0,3}}(?:{SCRIPT})\b", rf"\b(?:{SCRIPT}) (?:is|are) (?:disabled|off|blocked|switched off|turned off|not enabled|required|needed)\b",
-    rf"\benable cookies and (?:{SCRIPT})\b", r"\bchecking your browser\b", rf"\b(?:{THING}|player|viewer|app) (?:requires|needs) (?:{SCRIPT})\b", r"\bturn them on in your browser\b", rf"\baktivieren sie (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
-    rf"\bbrowser (?:führt|unterstützt) keine? (?:{SCRIPT})\b", rf"\b(?:besoin|nécessite)(?: de| des)? (?:{SCRIPT})\b", rf"\b(?:{ASK}) (?:activer|autoriser) (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
-]
+ALONE_GATE = "denied|refusé|verweigert|forbidden"
+_SWITCHED = "script enabl|script aktiv|script activ|script allow|script turn|script switch|script run|js enabl|js activ|js allow|js turn|cookies|skript"
+SCRIPTS = {
+    _SWITCHED: rf"\b(?:{ASK}|need to|needs to|must|have to) (?:\w+ ){{0,3}}(?:{SWITCH_ON}) (?:\w+ ){{0,2}}(?:{SCRIPT}|cookies)\b|\benable cookies and (?:{SCRIPT})\b|\baktivieren sie (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
+    "script disabled|script off|script blocked|script not enabled|script required|script needed|js disabled|js off|js blocked|js required|js needed": rf"\b(?:{SCRIPT}) (?:is|are) (?:disabled|off|blocked|switched off|turned off|not enabled|required|needed)\b",
+    "browser": rf"\bchecking your browser\b|\bturn them on in your browser\b|\bbrowser (?:führt|unterstützt) keine? (?:{SCRIPT})\b",
+    "script requires|script needs|js requires|js needs": rf"\b(?:{THING}|player|viewer|app) (?:requires|needs) (?:{SCRIPT})\b",
+    "script besoin|script nécessite|script veuillez|script autorise|script active": rf"\b(?:besoin|nécessite)(?: de| des)? (?:{SCRIPT})\b|\b(?:{ASK}) (?:activer|autoriser) (?:\w+ ){{0,2}}(?:{SCRIPT})\b",
+}
 
 #: What is reported: the words after a verb of saying up to the end of the clause, and the subject of a judgement.
-MENTION = rf"\b(?:{REPORT})\b(?:(?: [\p{{L}}\p{{N}}]+){{0,{REACH - 1}}}? (?:{REPORT})\b)*(?: [\p{{L}}\p{{N}}]+){{1,{REACH}}}|(?:[\p{{L}}\p{{N}}]+ ){{1,4}}(?:is|was|are|were) (?:what|how|not an?|no|the word)\b"
+MENTION = rf"\b(?:{REPORT})\b(?:(?: [\p{{L}}\p{{N}}]+){{0,{REACH - 1}}}? (?:{REPORT})\b)*(?: [\p{{L}}\p{{N}}]+){{1,{REACH}}}|\b(?:[\p{{L}}\p{{N}}]++ ){{1,4}}?(?:is|was|are|were) (?:what|how|not an?|no|the word)\b"
 #: Words for the parts of a template: a field right after one is being explained.
 EXPLAINED = r"(?i)\b(?:variables?|placeholders?|tags?|tokens?|fields?|syntax|markers?|platzhalter|variablen?|balises?|champs?) (?:called |named |like |such as |namens |wie |nommée? |comme )?"
 
-#: Every message holds one of these words.
-STEMS = (
-    "script", "skript", "js", "browser", "cookies", "found", "server", "request", "forbidden", "gateway", "unavailable", "available", "unauthori", "denied", "permission", "log in", "log-in", "login", "sign in", "sign-in",
-    "session", "sitzung", "expired", "error", "fehler", "erreur", "exception", "traceback", "trace", "load", "displayed", "shown", "opened", "reached", "verweigert", "melden", "gefunden", "geladen", "angezeigt", "geöffnet",
-    "erreichbar", "verfügbar", "introuvable", "indisponible", "connecter", "refusé", "charger", "afficher", "ouvrir", "wrong", "placeholder", "platzhalter", "dummy", "sample", "filler", "template", "copy", "goes", "publishing",
-    "ignore", "text", "blindtext", "muster", "beispiel", "füll", "xxx", "asdf", "qwer", "bla", "foo", "conflict", "gone", "condition", "connection", "timed", "exist",
-)
-
-
 def _any(patterns: list[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 
@@ -196,6 +204,28 @@ def unmentioned(t: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, quoted, " quotation "), rf"{EXPLAINED}{_FIELD_LIKE}", " mention ")
 
 
+def sure(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _gate(*gates: str) -> Column:
+    ways = list(dict.fromkeys(way for gate in gates for way in gate.split("|")))
+    return _either([reduce(and_, [F.col("_low").contains(x) for x in way.split()]) for way in ways])
+
+
+def _matches(grammars: dict[str, str]) -> Column:
+    """Whether one of the grammars matches; each is tried only where its words occur."""
+    return _either([_gate(gate) & F.col("_flat").rlike(pattern) for gate, pattern in grammars.items()])
+
+
+def _filler() -> Column:
+    return _matches(FILLER)
+
+
+def _error() -> Column:
+    return _matches(ERROR) | (_gate(ALONE_GATE) & F.col("_say").rlike(ALONE))
+
+
 def residue(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``template, filler, error_page, scripts`` (booleans, never NULL), and ``_once``, a running id.
 
@@ -204,22 +234,25 @@ def residue(df: DataFrame, text: str = "text") -> DataFrame:
     """
     once = df.withColumn("_raw", cleaned(F.coalesce(F.col(text), F.lit(""))))
     once = once.withColumn("_tpl", unmentioned(F.col("_raw")))
-    # the costlier forms of the text are made only where a stem of some message occurs
+    # the costlier forms of the text are made only where the words of some message occur, mentions are cut out only where one is met
     once = once.withColumn("_low", F.lower("_raw"))
-    once = once.withColumn("_cand", _either([F.col("_low").contains(x) for x in STEMS]))
-    say = F.regexp_replace(F.regexp_replace(plain(unquoted(F.col("_raw"))), r" [.!?…|] (?=[.!?…|])", " "), MENTION, " mention ")
-    once = once.withColumn("_say", F.when(F.col("_cand"), say))
-    once = once.withColumn("_flat", F.when(F.col("_cand"), F.regexp_replace(F.regexp_replace("_say", r"[.!?…|»”\[\]]", " "), " +", " ")))
-    sure = lambda c: F.coalesce(c, F.lit(False))
+    gates = {"filler": _gate(*FILLER), "error_page": _gate(*ERROR, ALONE_GATE), "scripts": _gate(*SCRIPTS)}
+    once = once.withColumn("_cand", _either(list(gates.values())))
+    once = once.withColumn("_say", F.when(F.col("_cand"), F.regexp_replace(plain(unquoted(F.col("_raw"))), r" [.!?…|] (?=[.!?…|])", " ")))
+    flat = lambda c: F.regexp_replace(F.regexp_replace(c, r"[.!?…|»”\[\]]", " "), " +", " ")
+    once = once.withColumn("_flat", flat(F.col("_say")))
+    once = once.withColumn("_met", sure(_either([_filler(), _error(), _matches(SCRIPTS)])))
+    once = once.withColumn("_say", F.when(F.col("_met"), F.regexp_replace("_say", MENTION, " mention ")))
+    once = once.withColumn("_flat", F.when(F.col("_met"), flat(F.col("_say"))))
     return once.withColumns(
         {
             "template": _fields(F.col("_tpl")),
-            "filler": sure(F.col("_flat").rlike(_any(FILLER))) | F.col("_low").rlike(LATIN_RUN),
-            "error_page": sure(F.col("_flat").rlike(_any(ERROR)) | F.col("_say").rlike(ALONE)),
-            "scripts": sure(F.col("_flat").rlike(_any(SCRIPTS))),
+            "filler": (F.col("_met") & sure(_filler())) | F.col("_low").rlike(LATIN_RUN),
+            "error_page": F.col("_met") & sure(_error()),
+            "scripts": F.col("_met") & sure(_matches(SCRIPTS)),
             "_once": F.monotonically_increasing_id(),
         }
-    ).drop("_raw", "_low", "_tpl", "_say", "_flat", "_cand")
+    ).drop("_raw", "_low", "_tpl", "_say", "_flat", "_cand", "_met")
 
 
 def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
