@@ -2,6 +2,9 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
+import pandas as pd
+
 from weirstream.operators import implausible as imp
 from weirstream.operators.implausible import implausible
 
@@ -69,3 +72,24 @@ def test_the_cut_into_shards_does_not_show(spark, monkeypatch):
 
 def test_short_null_and_empty(spark):
     assert run(spark, []) == {} and run(spark, [1.0, 2.0]) == {} and run(spark, [None, None]) == {} and run(spark, [1.0], site=None) == {}
+
+
+def one_by_one(values):
+    """The test as its definition says: the most extreme value is removed, mean and deviation are renewed."""
+    left, removed, last = list(values), [], 0
+    for _ in range(int(len(values) / 10 + 10)):
+        mean, deviation = np.mean(left), np.std(left)
+        worst = max(left, key=lambda x: abs(x - mean))
+        removed.append(worst)
+        if abs(worst - mean) / deviation > imp._critical(np.array([len(left)]))[0]:
+            last = len(removed)
+        left.remove(worst)
+    return sorted(removed[:last])
+
+
+def test_limit_against_removal_one_by_one():
+    r = random.Random(7)
+    for planted in ([], [9.0], [8.0, 8.5, -9.0], [6.5, 30.0, 31.0, 32.0]):
+        z = np.array([r.gauss(0, 0.8) for _ in range(800)] + planted)
+        at = imp._limit(("a", "Q"), pd.DataFrame(imp._histogram(z)))["at"][0]
+        assert sorted(x for x in z if abs(x) >= at) == one_by_one(z) == sorted(planted)

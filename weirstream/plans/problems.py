@@ -148,3 +148,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows with the check that each fails."""
     return _implausible(spark, sf_dir)
+
+
+@query(
+    "p2_stuck",
+    """WITH s AS (SELECT reading_id, site_id, data_type, timestamp AS t, value AS v FROM silver WHERE value IS NOT NULL AND NOT isnan(value) AND site_id IS NOT NULL AND data_type IS NOT NULL AND timestamp IS NOT NULL AND reading_id IS NOT NULL),
+c AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY site_id, data_type ORDER BY t, reading_id) THEN 0 ELSE 1 END AS fresh FROM s),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY site_id, data_type ORDER BY t, reading_id ROWS UNBOUNDED PRECEDING) AS run FROM c),
+n AS (SELECT *, count(*) OVER (PARTITION BY site_id, data_type, run) AS len FROM g)
+SELECT reading_id FROM n WHERE len >= 8 AND NOT (data_type = 'P' AND v = 0)""",
+)
+def p2_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows in runs of equal values."""
+    return _implausible(spark, sf_dir).filter("stuck").select("reading_id")
