@@ -115,30 +115,32 @@ REPORT = (
 )
 REACH = 8
 
-#: Grammars of messages by the words without which none of them matches: ``|`` between alternatives, blanks between words that must all occur.
+# the word, then the word again with a blank, a comma or a full stop between
+_TWICE = "|".join(f"{w}{between}{w}" for w in ("text", "texte", "copy", "bla", "blah", "qwer", "asdf", "foo", "mustertext", "beispieltext", "blindtext") for between in ("_", ",_", "._"))
+#: Grammars of messages by the words without which none of them matches: ``|`` between alternatives, blanks between words that must all occur, ``_`` for a blank itself.
 FILLER = {
     "placeholder|dummy|sample|filler|template": rf"\b(?:this is|here is|insert|replace this) (?:an? |the |some )?(?:{MOCK}) (?:copy|text|speech|body|paragraph)\b|\b(?:{MOCK}) (?:copy|text|speech|body) (?:for|body|goes|text|only|please)\b",
     "goes here|replace publishing|test ignore": r"\b(?:copy|text|content|speech) goes here\b|\breplace this \w+ before publishing\b|\btest (?:entry|record|page|document)(?: \w+)? please ignore\b",
     "faux texte|à venir": r"\b(?:ceci est|voici) (?:un |du )?faux texte\b|\bfaux texte pour\b|\btextes? à venir\b",
     "blindtext|mustertext|beispieltext|platzhaltertext|fülltext": r"\b(?:dies|das|hier) ist (?:ein |nur )?(?:blind|muster|beispiel|platzhalter|füll)text\b|\b(?:blind|muster|beispiel|platzhalter|füll)text (?:für|nr)\b",
-    "text text|texte texte|copy copy|bla bla|blah blah|qwer qwer|asdf asdf|text, text|foo foo": r"\b(text|texte|copy|blah?|qwer|asdf|mustertext|beispieltext|blindtext|foo)(?: \1){1,}\b(?: \w+)?(?: \1)?",
+    _TWICE: r"\b(text|texte|copy|blah?|qwer|asdf|mustertext|beispieltext|blindtext|foo)(?: \1){1,}\b(?: \w+)?(?: \1)?",
     "xxx": r"\bx{3,}(?: x{2,}){2,}\b",
 }
 ERROR = {
-    "40|41|42|50": rf"\b[45]\d\d (?:{REASON})\b",
+    "not found|forbidden|gateway|server error|unavailable|bad request|unauthori|many requests|request time|not allowed|not implemented|payment|conflict|gone": rf"\b[45]\d\d (?:{REASON})\b",
     "error|fehler|erreur": r"\b(?:error|fehler|erreur)(?: code)? [1-9]\d\d\b|\bfatal error\b|\b\p{L}{2,}error [\p{L}_]",
     "gateway|many requests|unexpected condition|traceback|stack trace|stack-trace|exception": r"\b(?:bad gateway|too many requests|unexpected condition|stack trace|null ?pointer ?exception|traceback most recent call last)\b|\b\p{L}{3,}exception(?: in| at)\b",
     "be displayed|be loaded|be found|be shown|be opened|be reached": rf"\b(?:{THING}) (?:\w+ ){{0,2}}(?:can ?not|can ?t|could not|could ?n t) be (?:displayed|loaded|found|shown|opened|reached)\b|\bcould not be loaded(?: connection| timeout| error| \d|$)",
     "unavailable|not available|erreichbar|verfügbar|indisponible": rf"\b(?:{THING}) (?:is |are |ist |est )?(?:{FOR_NOW}) (?:unavailable|not available|nicht erreichbar|nicht verfügbar|indisponible)\b",
-    "could you|could at": rf"\bcould (?:not|n t) (?:find|load|open|display) (?:the |this |that )?(?:{THING}) (?:you|that you|at)\b",
+    "could find|could load|could open|could display": rf"\bcould (?:not|n t) (?:find|load|open|display) (?:the |this |that )?(?:{THING}) (?:you|that you|at)\b",
     "you asked for|you requested|you are looking": rf"\b(?:{THING}) you (?:have )?(?:asked for|requested|are looking for) (?:is not available|was not found|does not exist|could not|cannot)\b",
-    "nicht werden|nicht gefunden": rf"\b(?:{THING}) (?:konnte|kann) nicht (?:geladen|angezeigt|gefunden|geöffnet) werden\b|\b(?:{THING}) nicht gefunden\b",
+    "nicht geladen|nicht angezeigt|nicht gefunden|nicht geöffnet": rf"\b(?:{THING}) (?:konnte|kann) nicht (?:geladen|angezeigt|gefunden|geöffnet) werden\b|\b(?:{THING}) nicht gefunden\b",
     "introuvable|impossible": r"\b(?:page|fichier|document) introuvable\b|\bimpossible (?:de charger|d afficher|d ouvrir)\b",
     "something wrong": r"\boops ?something went wrong\b|\bsomething went wrong (?:reference|code|please|try)\b",
     "please log|please sign|veuillez|bitte anmelden|bitte melden": rf"\b(?:{ASK}) (?:\w+ ){{0,2}}(?:log ?in|sign ?in|log on|connecter|reconnecter|anmelden)\b|\bbitte melden sie sich an\b",
     "your session|votre session|ihre sitzung": r"\b(?:your|votre|ihre) (?:session|sitzung)(?: a| ist| has)? (?:has )?(?:expired|timed out|expiré|abgelaufen)\b",
     "permission to": r"\b(?:do not|don t) have (?:the )?permission to (?:view|access|see|open)\b",
-    "server|service|connection": r"\b(?:server|service|connection) (?:met an? |reset|refused|timed out)\b",
+    "server met|server reset|service reset|connection reset|refused|server timed|service timed|connection timed": r"\b(?:server|service|connection) (?:met an? |reset|refused|timed out)\b",
 }
 #: Messages of one or two common words: only where they fill their clause.
 ALONE = r"(?:^|[.!?…|»”\]] ?)(?:access denied|accès refusé|zugriff verweigert|forbidden|permission denied)(?: ?[.!|]| ?$| you do not)"
@@ -163,9 +165,10 @@ def _any(patterns: list[str]) -> str:
 
 def cleaned(text: Column) -> Column:
     """The text with code cut out, line-end hyphens joined, ligatures resolved and white space as single spaces."""
-    t = F.regexp_replace(text, r"(?s)```.*?```|~~~.*?~~~|`[^`\n]+`", " ")
-    t = F.regexp_replace(t, r"(\p{L})-[ \t]*\r?\n\s*(\p{Ll})", "$1$2")
-    t = F.regexp_replace(F.regexp_replace(t, "ﬁ", "fi"), "ﬂ", "fl")
+    where = lambda t, marks, then: F.when(_either([t.contains(m) for m in marks]), then).otherwise(t)
+    t = where(text, ("`", "~~~"), F.regexp_replace(text, r"(?s)```.*?```|~~~.*?~~~|`[^`\n]+`", " "))
+    t = where(t, ("\n",), F.regexp_replace(t, r"(\p{L})-[ \t]*\r?\n\s*(\p{Ll})", "$1$2"))
+    t = F.replace(F.replace(t, F.lit("ﬁ"), F.lit("fi")), F.lit("ﬂ"), F.lit("fl"))
     t = F.regexp_replace(t, r"[\s\u00a0\u200b\u202f\ufeff]+", " ")
     return F.trim(t)
 
@@ -201,7 +204,8 @@ _FIELD_LIKE = r"(?:[$#]?\{+[^{}]*\}+|\[+[^\[\]]*\]+|<+[^<>]*>+|%+[^%“”]*%+|\
 def unmentioned(t: Column) -> Column:
     """Without fields that are quoted by themselves, with at most two words on either side, or explained."""
     quoted = rf"[“„\"](?:[\p{{L}}\p{{N}}]+,? ){{0,2}}{_FIELD_LIKE}(?:,? [\p{{L}}\p{{N}}]+){{0,2}}[.,:!?]?[”“\"]"
-    return F.regexp_replace(F.regexp_replace(t, quoted, " quotation "), rf"{EXPLAINED}{_FIELD_LIKE}", " mention ")
+    cut = F.regexp_replace(F.regexp_replace(t, quoted, " quotation "), rf"{EXPLAINED}{_FIELD_LIKE}", " mention ")
+    return F.when(_either([t.contains(x) for x in ("{", "[", "<", "%", "$(", "@@", "__")]), cut).otherwise(t)
 
 
 def sure(c: Column) -> Column:
@@ -210,7 +214,7 @@ def sure(c: Column) -> Column:
 
 def _gate(*gates: str) -> Column:
     ways = list(dict.fromkeys(way for gate in gates for way in gate.split("|")))
-    return _either([reduce(and_, [F.col("_low").contains(x) for x in way.split()]) for way in ways])
+    return _either([reduce(and_, [F.col("_low").contains(x.replace("_", " ")) for x in way.split()]) for way in ways])
 
 
 def _matches(grammars: dict[str, str]) -> Column:
