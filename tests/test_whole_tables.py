@@ -27,7 +27,7 @@ def both(spark, tmp_path, query, table):
 def test_silver_readings_of_all_gauges(spark, tmp_path):
     rows = [(i, T0 + dt.timedelta(minutes=15 * i) if i else None, 1.0 * i, "d", site, kind, 1, None if i % 2 else 1.0 * i, 0, None, 3) for i, (site, kind) in enumerate([("100000", "Q"), ("hot", "H"), ("hot", "P"), (None, "Q"), ("", "SM")])]
     put(spark, tmp_path, "silver", rows, SILVER)
-    got, want = both(spark, tmp_path, "silver_readings_all", "silver")
+    got, want = both(spark, tmp_path, "silver_readings", "silver")
     assert got == want and sum(got.values()) == len(rows)
 
 
@@ -46,7 +46,7 @@ def test_promotion_of_every_type_to_codes_and_flags(spark, tmp_path):
     p = [("b", "P", 15 * i, 60.0 if i == 10 else -0.2 if i == 20 else 0.1 * (i % 4)) for i in range(60)]
     rest = [("a", "Q", 0, 2.5), ("a", "Q", 902, 2.02), ("a", "H", 902, float("nan")), ("b", "P", 902, None), ("b", "P", 7, 9.0), ("c", "SM", 4, -3.0), ("a", "H", None, 1.0)]
     put(spark, tmp_path, "bronze", bronze([*q, *h, *p, *rest]), BRONZE)
-    got, want = both(spark, tmp_path, "promote_all", "bronze")
+    got, want = both(spark, tmp_path, "promote", "bronze")
     assert got == want
     at = {r[0]: r for r in got}
     assert len(got) == sum(got.values()) == 184  # less a repeated key, a row whose grid time is held and one without time
@@ -61,7 +61,7 @@ def test_promotion_of_every_type_to_codes_and_flags(spark, tmp_path):
 def test_snapping_of_every_type(spark, tmp_path):
     rows = [("a", k, m, 1.0) for k in ("Q", "H", "P", "SM", None) for m in (0, 4, 20, 20, None)] + [(None, "Q", 8, None)]
     put(spark, tmp_path, "bronze", bronze(rows), BRONZE)
-    got, want = both(spark, tmp_path, "snap_offgrid_all", "bronze")
+    got, want = both(spark, tmp_path, "snap_offgrid", "bronze")
     assert got == want
     first = T0 + dt.timedelta(minutes=15)
     assert got == Counter([x for i in range(0, 25, 5) for x in ((i, False, T0), (i + 3, True, first))] + [(25, True, first)])  # 8 minutes are nearer to 15

@@ -36,6 +36,9 @@ def snap_offgrid(df: DataFrame, keys: tuple[str, ...] = ("site_id", "data_type")
     )
 
 
-def outer_align(df: DataFrame, series: list[str], key: str = "series", at: str = "timestamp", value: str = "value") -> DataFrame:
-    """One column per named series, one row per time; one shuffle for any number of series."""
-    return df.groupBy(at).pivot(key, series).agg(F.max(value))
+def outer_align(df: DataFrame, series: list[str], key: str = "series", at: str = "timestamp", value: str = "value", by: tuple[str, ...] = ("site_id",)) -> DataFrame:
+    """One column per named series, one row per gauge and time; one shuffle for any number of series.
+
+    ``by`` names what tells gauges apart; it may be empty only where a time has one value of each series. Of repeated values the greatest is taken.
+    """
+    return df.groupBy(*by, at).pivot(key, series).agg(F.max(value))

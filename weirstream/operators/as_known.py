@@ -4,9 +4,10 @@ An attribute version holds from the later of the start of its window and the mom
 the day after its last day. Successive change times of an entity cut each day into half-open intervals on which one
 version is the best; events meet them by an equi-join on (entity, day) and half-open containment.
 
-The bucket is the UTC day: versions are unfolded over their days and reduced before the join to the best version at the
-start of the day plus those that begin within it, by aggregations with a partial step. An event meets at most one
-interval, so the join never multiplies rows, and a hot entity is spread over its days.
+The bucket is the UTC day: versions meet the days on which their entity has events (``BUCKET`` days at a time, so that one
+long version is not one row against all days) and are reduced before the join to the best version at the start of the day
+plus those that begin within it, by aggregations with a partial step. An event meets at most one interval, so the join never
+multiplies rows, and a hot entity is spread over its days.
 
 Defined results: a version with a NULL key, start, number or known-time takes no part, nor does one whose end is given but
 is no date or lies before its start; a NULL end is open; events with a NULL key or time, and events no version covers, are
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from weirstream.functions.timefn import DAY_US, floor_div
 from weirstream.operators.interval_union import day_number
 
+BUCKET = 64
+
 
 def as_known(
     events: DataFrame,
@@ -33,11 +36,18 @@ def as_known(
     start: str = "valid_from",
     end: str = "valid_to",
     known: str = "saved_at",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(event_id, version_id): each event with the highest-ranked version whose window holds the event's UTC day and that was known by then."""
+    """(event_id, version_id): each event with the highest-ranked version whose window holds the event's UTC day and that was known by then.
+
+    With ``keep``, every event comes back, with those columns in place of its id and NULL where no version covers it.
+    """
+    held = [event_id] if keep is None else keep
     ev = events.select(
-        F.col(entity).alias("e"), F.col(event_id).alias("event"), F.unix_micros(F.col(event_time).cast("timestamp")).alias("t")
-    ).filter(F.col("e").isNotNull() & F.col("t").isNotNull())
+        *[F.col(c).alias(f"_k_{c}") for c in held], F.col(entity).alias("e"), F.unix_micros(F.col(event_time).cast("timestamp")).alias("t")
+    )
+    if keep is None:
+        ev = ev.filter(F.col("e").isNotNull() & F.col("t").isNotNull())
     ev = ev.withColumn("day", floor_div(F.col("t"), DAY_US))
     # open windows reach to the last day on which anything happened: scalar subqueries, two numbers for the whole table
     bound = ev.agg(F.struct(F.max("day").alias("last"), F.min("day").alias("first")).alias("b")).scalar()
@@ -61,22 +71,23 @@ def as_known(
         .filter("from_day <= hi")
     )
     best = F.max(F.struct("rank", "id")).alias("best")
+    days = ev.filter("e is not null and day is not null").select("e", "day").distinct().withColumn("bucket", floor_div(F.col("day"), BUCKET))
+    # few versions cover many days: they are spread before they are unfolded over buckets, and over the days of events in the join
+    spread = vs.repartition("e", "id", "lo").withColumn("bucket", F.explode(F.sequence(floor_div(F.col("from_day"), BUCKET), floor_div(F.col("hi"), BUCKET))))
     per_day = (
-        vs.withColumn("day", F.explode(F.sequence("from_day", "hi")))
+        days.join(spread, ["e", "bucket"])
+        .filter(F.col("day").between(F.col("from_day"), F.col("hi")))
         .withColumn("since", F.greatest(F.col("from_t"), F.col("day") * DAY_US))
         .groupBy("e", "day", "since")
         .agg(best)
     )
     w = Window.partitionBy("e", "day").orderBy("since")
     intervals = per_day.select(
-        "e",
-        "day",
+        F.col("e").alias("v_e"),
+        F.col("day").alias("v_day"),
         "since",
         F.coalesce(F.lead("since").over(w), (F.col("day") + 1) * DAY_US).alias("until"),
         F.max("best").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("best"),
     )
-    return (
-        ev.join(intervals, ["e", "day"])
-        .filter((F.col("t") >= F.col("since")) & (F.col("t") < F.col("until")))
-        .select(F.col("event").alias(event_id), F.col("best.id").alias(version_id))
-    )
+    met = (F.col("e") == F.col("v_e")) & (F.col("day") == F.col("v_day")) & (F.col("t") >= F.col("since")) & (F.col("t") < F.col("until"))
+    return ev.join(intervals, met, "inner" if keep is None else "left").select(*[F.col(f"_k_{c}").alias(c) for c in held], F.col("best.id").alias(version_id))

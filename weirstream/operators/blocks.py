@@ -21,20 +21,23 @@ from weirstream.functions.timefn import DAY_US, floor_div
 BLOCK, CONTEXT = 8192, 128
 
 
-def in_blocks(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], value: str = "value", block: int = BLOCK, context: int = CONTEXT, low: float = 0.1, high: float = 0.9) -> DataFrame:
+def in_blocks(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], value: str = "value", block: int = BLOCK, context: int = CONTEXT, low: float = 0.1, high: float = 0.9, stats: bool = True) -> DataFrame:
     """Add ``_block, _own`` (False for context), ``_n`` (number in the series), ``_total`` (rows of the series) and the statistics ``_st_*``.
 
     Statistics: ``a`` of the size of steps, ``s`` of signed steps, ``v`` of values; each with ``_med``, ``_mad``, ``_lo``, ``_hi``.
+    Checks that need none of them save half of the plan by ``stats=False``.
     """
     if context >= block:
         raise ValueError("a block must be longer than its context")
-    numbered, sizes = _numbered(df, keys, order)
+    numbered, sizes = numbered_rows(df, keys, order)
     at = F.pmod(F.col("_n") - 1, F.lit(block))
     home = floor_div(F.col("_n") - 1, block)
     places = F.array_compact(
         F.array(home, F.when((at < context) & (home > 0), home - 1), F.when((at >= block - context) & (F.col("_n") + (block - at) <= F.col("_total")), home + 1))
     )
     blocks = numbered.withColumn("_home", home).withColumn("_block", F.explode(places)).withColumn("_own", F.col("_block") == F.col("_home")).drop("_home")
+    if not stats:
+        return blocks
     w = Window.partitionBy(*keys, "_block").orderBy(*order)
     step = F.col(value) - F.lag(value).over(w)
     own = blocks.select(*keys, "_block", *order, value, "_own").withColumn("_s", step).filter("_own")
@@ -52,7 +55,8 @@ def in_blocks(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], valu
     return blocks.join(per_block, [*keys, "_block"])
 
 
-def _numbered(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def numbered_rows(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_n`` (number in the series) and ``_total``, and the sizes of the series."""
     rows = df.withColumn("_day", F.coalesce(floor_div(F.unix_micros(F.col(order[0]).cast("timestamp")), DAY_US), F.lit(-(1 << 40))))
     days = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_c"))
     by_day = Window.partitionBy(*keys).orderBy("_day")

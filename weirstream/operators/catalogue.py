@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirstream.functions.timefn import period_seconds
+from weirstream.operators.blocks import numbered_rows
 
 
 def only(df: DataFrame, **wanted: list | None) -> DataFrame:
@@ -55,8 +56,10 @@ def silver_coverage(silver: DataFrame) -> DataFrame:
     )
 
 
-def high_watermark(bronze: DataFrame) -> DataFrame:
-    return bronze.groupBy("site_id").agg(F.max("timestamp").alias("watermark"))
+def high_watermark(bronze: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Latest time of each series (site and data type), and with ``arrival`` also the latest arrival, as ``seen``."""
+    seen = [F.max(arrival).alias("seen")] if arrival else []
+    return bronze.groupBy("site_id", "data_type").agg(F.max("timestamp").alias("watermark"), *seen)
 
 
 def run_summary(log: DataFrame, alert_pct: float = 5.0) -> DataFrame:
@@ -66,3 +69,27 @@ def run_summary(log: DataFrame, alert_pct: float = 5.0) -> DataFrame:
         F.count(F.lit(1)).alias("gauges"),
         *[F.count_if(s == x).alias(x.lower()) for x in ("SUCCESS", "EMPTY", "FAILED")],
     ).withColumn("pct_failed", F.round(100 * F.col("failed") / F.nullif(F.col("gauges"), F.lit(0)), 1)).withColumn("alert", F.coalesce(F.col("pct_failed") > alert_pct, F.lit(False)))
+
+
+def placed(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in order, with ``place`` from 1; NULLs come first.
+
+    A distributed sort by ranges, then numbers within each range and the sizes of the ranges before: no task holds all rows.
+    """
+    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn("_part", F.spark_partition_id())
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.withColumn("_off", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")  # one row a partition
+    w = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return ranged.withColumn("_k", F.row_number().over(w)).join(before, "_part").withColumn("place", F.col("_k") + F.col("_off")).drop("_k", "_off", "_part")
+
+
+def head(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows, as a listing shows them."""
+    return df.orderBy(*order).limit(n)
+
+
+def thin(df: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """Every k-th row of a series, so that at most ``most`` stay: points for a plot. Rows with a NULL key are left out."""
+    numbered, _ = numbered_rows(df, tuple(keys), tuple(order))
+    every = F.greatest(F.lit(1), F.ceil(F.col("_total") / most))
+    return numbered.filter((F.col("_n") - 1) % every == 0).drop("_n", "_total")

@@ -19,11 +19,11 @@ def three_decimals(c: Column, fill: str = "") -> Column:
     return F.when(c.isNotNull(), F.format_string("%.3f", F.bround(c, 3))).otherwise(fill)
 
 
-def fmp_rows(df: DataFrame, series: list[str], start: Column, fill: str = "", key: str = "series", at: str = "timestamp", value: str = "value") -> DataFrame:
-    """Hours since ``start`` and one text column per series."""
-    wide = outer_align(df, series, key, at, value)
+def fmp_rows(df: DataFrame, series: list[str], start: Column, fill: str = "", key: str = "series", at: str = "timestamp", value: str = "value", by: tuple[str, ...] = ("site_id",)) -> DataFrame:
+    """Hours since ``start`` and one text column per series, by gauge."""
+    wide = outer_align(df, series, key, at, value, by)
     hours = (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 3.6e9
-    return wide.select(F.round(hours, 3).alias("hours"), *[three_decimals(F.col(f"`{s}`"), fill).alias(s) for s in series])
+    return wide.select(*by, F.round(hours, 3).alias("hours"), *[three_decimals(F.col(f"`{s}`"), fill).alias(s) for s in series])
 
 
 def fmp_header(title: str, comment: str, labels: list[str], gauge_ids: list[str] | None = None) -> list[str]:

@@ -74,3 +74,9 @@ def infer_period(df: DataFrame, keys: list[str], limits: tuple = ((900, "15min")
     for most, name in limits:
         label = label.when(F.col("m") <= most, name)
     return steps(df, keys).select(*keys, label.otherwise(otherwise).alias("period_name"))
+
+
+def with_period(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with ``period``, the label of its series; 15 minutes for a series without two times and for NULL keys."""
+    known = infer_period(df, keys)
+    return df.drop("period").join(known, keys, "left").withColumn("period", F.coalesce("period_name", F.lit("15min"))).drop("period_name")

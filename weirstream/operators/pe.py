@@ -102,6 +102,12 @@ def to_volume(kind: str, value: Column, period: str, units: str = "Ml", weight:
     raise ValueError(f"{kind} has no volume")
 
 
+def with_daily(df: DataFrame, daily: DataFrame, at: str = "timestamp", value: str = "pe") -> DataFrame:
+    """Every reading with ``pe_daily``, the evaporation of its day; NULL on days without one. ``daily`` has one row per ``date``."""
+    x = daily.groupBy("date").agg(F.max(value).alias("pe_daily"))
+    return df.withColumn("date", F.to_date(at)).join(x, "date", "left").drop("date")
+
+
 def combine(*parts: DataFrame, at: str = "timestamp", value: str = "value") -> DataFrame:
     """Sum of several series by time, a missing value counting as nothing."""
     out = parts[0].select(at, value)

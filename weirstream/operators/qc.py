@@ -57,19 +57,15 @@ class Spec:
 BLOCKED = Spec(block="_block")
 
 
-def blocked(df: DataFrame, spec: Spec = BLOCKED, value: str = "value") -> DataFrame:
+def blocked(df: DataFrame, spec: Spec = BLOCKED, value: str = "value", stats: bool = True) -> DataFrame:
     """The series in row blocks, with the statistics that the checks need; to be used with a Spec that has ``block``."""
-    return in_blocks(df, spec.keys, spec.order, value)
+    return in_blocks(df, spec.keys, spec.order, value, stats=stats)
 
 
 def sure(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def _with(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    return df.withColumns(cols)
-
-
 def mad_limits(df: DataFrame, spec: Spec, of: str, out: str, signed: str | None = None, known: tuple[str, str] | None = None) -> DataFrame:
     """Add ``out_med`` (median of ``of``) and ``out_mad`` (constant-1 deviation of ``signed`` or ``of`` around its own median).
 

@@ -138,3 +138,20 @@ def supersede(register: DataFrame, new: DataFrame) -> DataFrame:
     added = new.join(next_version(register), keys, "left").withColumn("version", F.coalesce("next_version", F.lit(1)).cast("int")).withColumn("status", F.lit("Active")).drop("next_version")
     added = added.withColumn("rating_id", F.concat(F.col("site_id"), F.lit("_RATING_"), F.col("tier"), F.lit("_v"), F.col("version").cast("string")))
     return old.unionByName(added, allowMissingColumns=True)
+
+
+CURVE = ("rating_id", "site_id", "version", "valid_from", "valid_to")
+
+
+def load_set(stored: DataFrame) -> DataFrame:
+    """Stored limbs, under any accepted names, as one row per curve with its limbs in order; repeated limbs count once, rows without id are left out."""
+    limbs = rename_limbs(stored).filter("rating_id is not null")
+    if "doubtful" not in limbs.columns:
+        limbs = limbs.withColumn("doubtful", F.lit(False))
+    return limb_table(limbs, list(CURVE))
+
+
+def flatten_set(curves: DataFrame) -> DataFrame:
+    """One row per limb, as ratings are stored; a top without end is NULL."""
+    x = curves.select(*CURVE, F.explode("limbs").alias("l")).select(*CURVE, "l.limb_no", "l.lower", "l.upper", "l.c", "l.a", "l.b", "l.doubtful")
+    return x.withColumn("upper", F.nullif("upper", F.lit(float("inf"))))

@@ -29,8 +29,19 @@ def series(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return table(spark, sf_dir, "silver").filter(F.col("data_type") == kind).select("reading_id", "site_id", "data_type", "timestamp", v.alias("value"))
 
 
-def blocks(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return qc.blocked(series(spark, sf_dir, kind))
+def blocks(spark: SparkSession, sf_dir: str, kind: str, stats: bool = True) -> DataFrame:
+    return qc.blocked(series(spark, sf_dir, kind), stats=stats)
+
+
+#: Checks of a row by itself need no order, checks of rows nearby no statistics of the series.
+BY_ITSELF = ("qc_negative", "qc_h_range", "qc_p_negative", "qc_p_intensity")
+BY_SERIES = ("qc_absolute_spike", "qc_truncation_low", "qc_truncation_high", "qc_h_spike", "qc_p_reset")
+
+
+def checked(spark: SparkSession, sf_dir: str, kind: str, name: str, column) -> DataFrame:
+    if name in BY_ITSELF:
+        return column(series(spark, sf_dir, kind)).select("reading_id", "flagged")
+    return column(blocks(spark, sf_dir, kind, name in BY_SERIES)).filter("_own").select("reading_id", "flagged")
 
 
 def base(kind: str) -> str:
@@ -55,7 +66,7 @@ t4 AS (SELECT *, max(hit) OVER ({W} ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) =
 def _flow(name: str, sql_test: str, column, extra: str = "", source: str = "s"):
     @query(name, base("Q") + extra + f" SELECT reading_id, coalesce({sql_test}, false) AS flagged FROM {source}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return column(blocks(spark, sf_dir, "Q")).filter("_own").select("reading_id", "flagged")
+        return checked(spark, sf_dir, "Q", name, column)
 
     return run
 
@@ -77,7 +88,7 @@ _flow("qc_truncation_high", "len >= 4 AND r >= qh", lambda df: qc.add_truncation
 def _check(kind: str, name: str, sql_test: str, column, extra: str = "", source: str = "s"):
     @query(name, base(kind) + extra + f" SELECT reading_id, coalesce({sql_test}, false) AS flagged FROM {source}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return column(blocks(spark, sf_dir, kind)).filter("_own").select("reading_id", "flagged")
+        return checked(spark, sf_dir, kind, name, column)
 
 
 _SPIKE = f""", x AS (SELECT *, md + 5 * smad AS lim, min(d) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS back FROM s JOIN m2 USING (site_id)),
@@ -134,7 +145,7 @@ SELECT reading_id, max(hit) OVER ({W} ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)
 )
 def qc_h_stage_flow_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     h, q = series(spark, sf_dir, "H").withColumnRenamed("value", "stage"), series(spark, sf_dir, "Q").select("site_id", "timestamp", F.col("value").alias("flow"))
-    both = qc.blocked(h.join(q, ["site_id", "timestamp"]), value="stage")
+    both = qc.blocked(h.join(q, ["site_id", "timestamp"]), value="stage", stats=False)
     return qc.add_stage_flow_consistency(both, SPEC).filter("_own").select("reading_id", "inconsistent")
 
 

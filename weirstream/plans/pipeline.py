@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstream.functions.vocab import CATEGORIES, SOURCES, TYPE_PARAMETERS
+from weirstream.functions.vocab import CATEGORIES, SOURCES, TYPE_PARAMETERS, data_type_code
 from weirstream.operators import qc
 from weirstream.operators.align import dedup, snap_offgrid
 from weirstream.operators.as_known import as_known
+from weirstream.operators.catalogue import high_watermark
 from weirstream.operators.interval_union import day_number
 from weirstream.operators.qc import Spec
 from weirstream.operators.rating import limb_table, rate
@@ -31,14 +33,14 @@ def bronze_schema(df: DataFrame, timestamp: str = "timestamp", value: str = "val
     at = F.col(timestamp) if kind.startswith("timestamp") else F.col(timestamp).cast("timestamp")
     return df.select(
         at.alias("timestamp"),
-        F.col(value).cast("double").alias("value"),
+        F.nullif(F.col(value).cast("double"), F.lit(float("nan"))).alias("value"),  # NaN is no value
         (F.col(flag) if flag and flag in df.columns else F.lit(None)).cast("string").alias("supplier_flag"),
         *[text(n).cast("string").alias(n) for n in ("dataset_id", "site_id", "data_type", "period")],
     )
 
 
 def valid_registry(df: DataFrame) -> DataFrame:
-    """Gauges of known sources and categories; missing columns raise, NULL flags mean not set."""
+    """Gauges of known sources and categories (``check_registry`` raises on others); missing columns raise, NULL flags mean not set."""
     missing = [c for c in ("gauge_id", "source_system", "data_type", "category") if c not in df.columns]
     if missing:
         raise ValueError(f"registry lacks {missing}")
@@ -47,6 +49,14 @@ def valid_registry(df: DataFrame) -> DataFrame:
     return df.filter(F.col("source_system").isin(*SOURCES) & F.col("category").isin(*CATEGORIES))
 
 
+def check_registry(df: DataFrame) -> DataFrame:
+    """The registry as it is; raises if a row has an unknown source or category."""
+    bad = df.filter(~F.coalesce(F.col("source_system").isin(*SOURCES) & F.col("category").isin(*CATEGORIES), F.lit(False))).select("gauge_id", "source_system", "category").head(5)
+    if bad:
+        raise ValueError(f"registry has unknown sources or categories, such as {[tuple(r) for r in bad]}")
+    return valid_registry(df)
+
+
 def append_unseen(registry: DataFrame, new: DataFrame, key: str = "gauge_id") -> DataFrame:
     """The registry with those of ``new`` whose key it lacks."""
     return registry.unionByName(new.join(registry.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
@@ -118,30 +128,74 @@ def of_catchment(silver: DataFrame, registry: DataFrame, catchment: str) -> Data
     return silver.join(gauges, "site_id", "left_semi")
 
 
-def newer(bronze: DataFrame, watermarks: DataFrame, by: str = "timestamp") -> DataFrame:
-    """Rows later than their gauge's watermark; all rows of a gauge without one."""
-    return bronze.join(watermarks, "site_id", "left").filter(F.col("watermark").isNull() | (F.col(by) > F.col("watermark"))).drop("watermark")
+def newer(bronze: DataFrame, watermarks: DataFrame, by: str = "timestamp", keys: tuple[str, ...] = ("site_id", "data_type")) -> DataFrame:
+    """Rows later than the watermark of their series; all rows of a series without one.
+
+    Where ``watermarks`` also has ``seen`` (the latest arrival that was loaded), rows that arrived later are new whatever their
+    time, so late readings and revisions are not lost.
+    """
+    known = watermarks.select(*[F.col(k).alias(f"_{k}") for k in keys], "watermark", *[c for c in watermarks.columns if c == "seen"])
+    same = [bronze[k].eqNullSafe(known[f"_{k}"]) for k in keys]
+    fresh = F.col("watermark").isNull() | (F.col(by) > F.col("watermark"))
+    if "seen" in watermarks.columns:
+        fresh = fresh | (F.col("received_at") > F.col("seen"))
+    return bronze.join(known, same, "left").filter(fresh).select(*bronze.columns)
 
 
-def rate_series(levels: DataFrame, ratings: DataFrame, event: str = "reading_id") -> DataFrame:
-    """Stage to flow by the curve valid on the day; the later version wins. Adds ``rating_id`` and ``flow``."""
+def rate_series(levels: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Stage to flow by the curve valid on the day; the later version wins. Adds ``rating_id`` and ``flow``, NULL without a valid curve."""
     ratings = ratings.withColumn("_always", F.timestamp_seconds(F.lit(-62_135_596_800)))  # validity alone decides: every version counts as always known
-    held = as_known(levels, ratings, event_id=event, known="_always")
+    held = as_known(levels, ratings, known="_always", keep=levels.columns)
     curves = limb_table(ratings.filter(day_number(F.col("valid_from")).isNotNull()).select("rating_id", "limb_no", "lower", "upper", "c", "a", "b", "doubtful"), ["rating_id"])
-    return rate(levels.join(held, event), curves, ["rating_id"])
+    return rate(held, curves, ["rating_id"])
 
 
-def backfill(spark: SparkSession, registry: DataFrame, fetch: Callable[[dict], "DataFrame | None"], write: Callable[[DataFrame, dict], int], failed_before: set[str] | None = None) -> DataFrame:
-    """Fetch every active gauge and log SUCCESS, EMPTY or FAILED; an error of one gauge is logged and does not stop the others.
+def run_incremental(
+    spark: SparkSession, registry: DataFrame, bronze: DataFrame | None, fetch: Callable[[dict, datetime.date, datetime.date], "DataFrame | None"], write: Callable[[DataFrame, dict], int],
+    end_date: datetime.date, default_start: datetime.date = datetime.date(2000, 1, 1), gauges: Iterable[str] | None = None, now: datetime.datetime | None = None,
+) -> DataFrame:
+    """Load what is new of every live, active gauge and log it: NO_NEW_DATA, SUCCESS, EMPTY or FAILED.
 
-    The registry is a list of gauges the driver walks; each gauge's data stays distributed. ``failed_before`` restricts the
-    run to gauges that failed.
+    A gauge begins on the day of its watermark, or at ``default_start`` without one; a gauge at or beyond ``end_date`` has no new
+    data. An error is logged and stops no other gauge. The driver walks the gauges, as their requests go out one after another;
+    the watermarks come from one aggregation, and a gauge's data stays distributed.
     """
+    chosen = valid_registry(registry).filter("active and live")
+    if gauges is not None:
+        chosen = chosen.filter(F.col("gauge_id").isin(list(gauges)))
+    chosen = chosen.withColumn("_type", data_type_code(F.col("data_type")))
+    if bronze is not None:
+        marks = high_watermark(bronze).select(F.col("site_id").alias("gauge_id"), F.col("data_type").alias("_type"), "watermark")
+        chosen = chosen.join(marks, ["gauge_id", "_type"], "left")
+    else:
+        chosen = chosen.withColumn("watermark", F.lit(None).cast("timestamp"))
     log = []
-    for row in registry.filter("active").toLocalIterator():
+    for row in chosen.toLocalIterator():
         gauge = row.asDict()
-        if failed_before is not None and gauge["gauge_id"] not in failed_before:
-            continue
+        began = datetime.datetime.now()
+        start = gauge["watermark"].date() if gauge["watermark"] is not None else default_start
+        status, rows, error = "NO_NEW_DATA", 0, None
+        if start < end_date:
+            try:
+                df = fetch(gauge, start, end_date)
+                rows = write(df, gauge) if df is not None else 0
+                status = "SUCCESS" if rows else "EMPTY"
+            except Exception as e:  # noqa: BLE001
+                status, error = "FAILED", str(e)[:500]
+        log.append((now or began, gauge["gauge_id"], start, end_date, status, rows, (datetime.datetime.now() - began).total_seconds(), error))
+    return spark.createDataFrame(log, "run_at timestamp, gauge_id string, watermark date, end_date date, status string, rows bigint, elapsed_s double, error string")
+
+
+def backfill(
+    spark: SparkSession, registry: DataFrame, fetch: Callable[[dict], "DataFrame | None"], write: Callable[[DataFrame, dict], int], failed_before: set[str] | None = None, workers: int = 4
+) -> DataFrame:
+    """Fetch every active gauge and log SUCCESS, EMPTY or FAILED; an error of one gauge is logged and does not stop the others.
+
+    ``workers`` gauges are under way at a time, each as jobs of its own; a gauge's data stays distributed. ``failed_before``
+    restricts the run to gauges that failed (see ``failed_gauges``).
+    """
+
+    def one(gauge: dict) -> tuple:
         status, rows, error = "EMPTY", 0, None
         try:
             df = fetch(gauge)
@@ -150,10 +204,16 @@ def backfill(spark: SparkSession, registry: DataFrame, fetch: Callable[[dict], "
                 status = "SUCCESS" if rows else "EMPTY"
         except Exception as e:  # noqa: BLE001
             status, error = "FAILED", str(e)[:500]
-        log.append((gauge["gauge_id"], gauge["data_type"], status, rows, error))
+        return gauge["gauge_id"], gauge["data_type"], status, rows, error
+
+    chosen = (row.asDict() for row in registry.filter("active").toLocalIterator())
+    if failed_before is not None:
+        chosen = (g for g in chosen if g["gauge_id"] in failed_before)
+    with ThreadPoolExecutor(workers) as pool:
+        log = list(pool.map(one, chosen))
     return spark.createDataFrame(log, "gauge_id string, data_type string, status string, rows bigint, error string")
 
 
-def last_of_stream(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+def failed_gauges(log: DataFrame) -> set[str]:
+    """Gauges that a run's log calls failed."""
+    return {r[0] for r in log.filter("status = 'FAILED'").select("gauge_id").distinct().toLocalIterator()}

@@ -9,8 +9,9 @@ from weirstream.functions import vocab
 from weirstream.functions.timefn import period_seconds
 from weirstream.operators import align, catalogue, export, gaps, pe, qc, rating
 from weirstream.operators.qc import Spec
-from weirstream.plans import flow_queries, pipeline
-from weirstream.sources.api import parse_props
+from weirstream.plans import flow_queries, pipeline, series
+from weirstream.sources import allfile
+from weirstream.sources.api import parse_props, parse_readings
 from weirstream.sources.tables import table, usable
 from weirstream.streaming.stream import run_dedup
 
@@ -41,7 +42,7 @@ def scan_projected(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bronze").groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("bronze_schema", "SELECT timestamp, value, supplier_flag, dataset_id, site_id, data_type, period FROM bronze")
+@query("bronze_schema", "SELECT timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, supplier_flag, dataset_id, site_id, data_type, period FROM bronze")
 def bronze_schema(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.bronze_schema(table(spark, d, "bronze"))
 
@@ -88,9 +89,11 @@ def interval_seconds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bronze").select("period").distinct().select("period", period_seconds(F.col("period")).alias("seconds"))
 
 
-@query("as_long", "SELECT 'flow' AS parameter, timestamp, site_id, value FROM silver WHERE data_type = 'Q'")
+@query("as_long", "SELECT 'flow' AS parameter, timestamp AS dateTime, strftime(timestamp, '%Y-%m-%d') AS date, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, dataset_id AS measure_notation, site_id FROM silver WHERE data_type = 'Q'")
 def as_long(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "silver").filter("data_type = 'Q'").select(F.lit("flow").alias("parameter"), "timestamp", "site_id", "value")
+    x = clean(table(spark, d, "silver").filter("data_type = 'Q'"))
+    x = x.select(F.col("timestamp").alias("dateTime"), F.to_date("timestamp").alias("date"), "value", F.col("dataset_id").alias("measure_notation"), "site_id")
+    return series.flow_15min(x).as_long().withColumn("date", F.col("date").cast("string"))
 
 
 @query("registry_build", "SELECT gauge_id, data_type, category, true AS live FROM gauge_registry WHERE source_system IN ('HDE', 'WISKI', 'WISKI_ALL') AND category IN ('hydrometric', 'radarH19', 'MOSES') AND coalesce(live, false)")
@@ -116,10 +119,15 @@ def type_infer(spark: SparkSession, d: str) -> DataFrame:
     return x.select("line", vocab.infer_type(F.col("line")).alias("data_type"))
 
 
-@query("api_readings", "SELECT event_id, ts + INTERVAL 0 SECOND AS read_at FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-04'")
+@query("api_readings", "SELECT site_id || '-' || data_type AS measure_notation, date_trunc('second', timestamp) AS timestamp, value, supplier_flag AS quality FROM silver WHERE value IS NOT NULL AND NOT isnan(value) AND NOT isinf(value) AND site_id IS NOT NULL AND data_type IS NOT NULL AND timestamp IS NOT NULL")
 def api_readings(spark: SparkSession, d: str) -> DataFrame:
-    """The half-open date range of a readings request."""
-    return pipeline.between(table(spark, d, "events"), "ts", "2024-01-02", "2024-01-04").select("event_id", F.col("ts").alias("read_at"))
+    """The promoted readings as responses of the readings endpoint, parsed again."""
+    x = table(spark, d, "silver").filter(usable(F.col("value")) & (F.abs("value") < float("inf")) & F.col("site_id").isNotNull() & F.col("data_type").isNotNull() & F.col("timestamp").isNotNull())
+    item = F.struct(
+        F.struct(F.concat(F.lit("http://measures/"), "site_id", F.lit("-"), "data_type").alias("@id")).alias("measure"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("dateTime"),
+        F.date_format("timestamp", "yyyy-MM-dd").alias("date"), F.col("value"), F.col("supplier_flag").alias("quality"),
+    )
+    return parse_readings(x.select(F.to_json(F.struct(F.array(item).alias("items"))).alias("value")))
 
 
 @query("measure_id", "SELECT DISTINCT 'a-b-c-d-e-' || event_type || '-i-900' AS notation, event_type AS parameter, 'instantaneous' AS value_type, '15min' AS period_name FROM events")
@@ -172,13 +180,8 @@ def offgrid_warn(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bronze").groupBy(*KEYS).agg(F.count_if(F.minute("timestamp") % 15 != 0).alias("n_off"))
 
 
-@query("silver_readings", "SELECT timestamp AS dateTime, strftime(timestamp, '%Y-%m-%d') AS date, qc_value AS value, value AS raw_value, dataset_id AS measure_notation, qc_y_code, qc_h_code, qc_p_code FROM silver WHERE site_id IN ('100000', '100001')")
+@query("silver_readings", "SELECT timestamp AS dateTime, strftime(timestamp, '%Y-%m-%d') AS date, qc_value AS value, value AS raw_value, dataset_id AS measure_notation, qc_y_code, qc_h_code, qc_p_code FROM silver")
 def silver_readings(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.silver_readings(table(spark, d, "silver").filter(F.col("site_id").isin("100000", "100001"))).withColumn("date", F.col("date").cast("string"))
-
-
-@query("silver_readings_all", "SELECT timestamp AS dateTime, strftime(timestamp, '%Y-%m-%d') AS date, qc_value AS value, value AS raw_value, dataset_id AS measure_notation, qc_y_code, qc_h_code, qc_p_code FROM silver")
-def silver_readings_all(spark: SparkSession, d: str) -> DataFrame:
     """The readings of all gauges."""
     return pipeline.silver_readings(table(spark, d, "silver")).withColumn("date", F.col("date").cast("string"))
 
@@ -203,28 +206,19 @@ def distinct_times(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bronze").select("site_id", "timestamp").distinct()
 
 
-_SNAP = f"""WITH b AS (SELECT *, minute(timestamp) % 15 = 0 AS g, epoch(timestamp) AS e FROM ({_DEDUP.format('DESC')}) WHERE data_type = 'H'),
+_SNAP = f"""WITH b AS (SELECT *, minute(timestamp) % 15 = 0 AS g, epoch(timestamp) AS e FROM ({_DEDUP.format('DESC')})),
 s AS (SELECT *, CAST(CASE WHEN g THEN floor(e / 900) ELSE round_even(e_whole / 900.0, 0) END AS BIGINT) AS slot FROM (SELECT *, floor(e) AS e_whole FROM b)),
 k AS (SELECT *, max(g::INT) OVER (PARTITION BY site_id, data_type, slot) AS held FROM s)"""
 
 
 @query("snap_offgrid", _SNAP + " SELECT reading_id, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp FROM k WHERE g OR held = 0")
 def snap_offgrid(spark: SparkSession, d: str) -> DataFrame:
-    b = align.dedup(table(spark, d, "bronze").filter("data_type = 'H'"), [*KEYS, "timestamp"], "reading_id")
-    return align.snap_offgrid(b).select("reading_id", "snapped", "timestamp")
-
-
-_SNAP_ALL = _SNAP.replace(" WHERE data_type = 'H'", "")
-
-
-@query("snap_offgrid_all", _SNAP_ALL + " SELECT reading_id, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp FROM k WHERE g OR held = 0")
-def snap_offgrid_all(spark: SparkSession, d: str) -> DataFrame:
     """Readings of all data types on the grid."""
     b = align.dedup(table(spark, d, "bronze"), [*KEYS, "timestamp"], "reading_id")
     return align.snap_offgrid(b).select("reading_id", "snapped", "timestamp")
 
 
-@query("outer_align", "SELECT timestamp, max(value) FILTER (WHERE data_type = 'Q') AS Q, max(value) FILTER (WHERE data_type = 'H') AS H, max(value) FILTER (WHERE data_type = 'P') AS P FROM (SELECT timestamp, data_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM silver) GROUP BY 1")
+@query("outer_align", "SELECT site_id, timestamp, max(value) FILTER (WHERE data_type = 'Q') AS Q, max(value) FILTER (WHERE data_type = 'H') AS H, max(value) FILTER (WHERE data_type = 'P') AS P FROM (SELECT site_id, timestamp, data_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM silver) GROUP BY 1, 2")
 def outer_align(spark: SparkSession, d: str) -> DataFrame:
     return align.outer_align(clean(table(spark, d, "silver")), ["Q", "H", "P"], "data_type")
 
@@ -243,15 +237,20 @@ def full_compare(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "day", "full")
 
 
-@query("catchment_lookup", "SELECT s.site_id, CAST(count(*) AS BIGINT) AS n FROM silver s WHERE s.site_id IN (SELECT gauge_id FROM gauge_registry WHERE catchment = 'Dunmere') GROUP BY 1")
+@query("catchment_lookup", "WITH c AS (SELECT max(catchment) AS catchment FROM gauge_registry WHERE gauge_id IN (SELECT site_id FROM silver)) SELECT s.site_id, CAST(count(*) AS BIGINT) AS n FROM silver s WHERE s.site_id IN (SELECT gauge_id FROM gauge_registry WHERE catchment = (SELECT catchment FROM c)) GROUP BY 1")
 def catchment_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.of_catchment(table(spark, d, "silver"), table(spark, d, "gauge_registry"), "Dunmere").groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
+    """The last catchment by name that holds readings."""
+    s, g = table(spark, d, "silver"), table(spark, d, "gauge_registry")
+    held = g.join(s.select(F.col("site_id").alias("gauge_id")).distinct(), "gauge_id", "left_semi")
+    name = held.agg(F.max("catchment").alias("c")).scalar()
+    return pipeline.of_catchment(s, g, name).groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("register_unknown", "SELECT DISTINCT site_id FROM bronze WHERE site_id NOT IN (SELECT gauge_id FROM gauge_registry WHERE live AND gauge_id IS NOT NULL) AND site_id IS NOT NULL")
+@query("register_unknown", "SELECT DISTINCT site_id AS gauge_id, 'WISKI_ALL' AS source_system, CASE data_type WHEN 'Q' THEN 'flow' WHEN 'H' THEN 'level' WHEN 'P' THEN 'rainfall' END AS data_type, true AS active, false AS live, true AS backfill_done FROM bronze WHERE site_id IS NOT NULL AND site_id NOT IN (SELECT gauge_id FROM gauge_registry WHERE data_type = 'rainfall' AND gauge_id IS NOT NULL)")
 def register_unknown(spark: SparkSession, d: str) -> DataFrame:
-    known = table(spark, d, "gauge_registry").filter("live").select(F.col("gauge_id").alias("site_id"))
-    return table(spark, d, "bronze").filter("site_id is not null").select("site_id").distinct().join(known, "site_id", "left_anti")
+    """Registry rows for the gauges that a registry of rain gauges alone would lack."""
+    known = table(spark, d, "gauge_registry").filter("data_type = 'rainfall'")
+    return allfile.unknown_gauges(table(spark, d, "bronze").filter("site_id is not null"), known)
 
 
 @query("union_fill", "SELECT site_id, valid_from, status FROM rating_register UNION ALL SELECT site_id, valid_from, NULL FROM ratings")
@@ -268,22 +267,14 @@ def first_per_group(spark: SparkSession, d: str) -> DataFrame:
 # promotion, gaps, catalogue
 
 
-@query("promote", _SNAP.replace("WHERE data_type = 'H'", "WHERE data_type = 'Q' AND site_id <> ''") + """, u AS (SELECT *, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS ts FROM k WHERE g OR held = 0)
-SELECT site_id, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE NOT g) AS BIGINT) AS snapped FROM u GROUP BY 1""")
-def promote(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and snapped rows per gauge of the whole promotion of flow (its codes are checked by ``y_code``)."""
-    out = pipeline.promote(table(spark, d, "bronze").filter("data_type = 'Q'"))
-    return out.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("snapped").alias("snapped"))
-
-
-_PROMOTED = _SNAP_ALL + f""", silver AS (SELECT reading_id, site_id, data_type, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM k WHERE (g OR held = 0) AND site_id IS NOT NULL AND data_type IS NOT NULL),
+_PROMOTED = _SNAP + f""", silver AS (SELECT reading_id, site_id, data_type, NOT g AS snapped, CASE WHEN g THEN timestamp ELSE make_timestamp(slot * 900000000) END AS timestamp, CASE WHEN isnan(value) THEN NULL ELSE value END AS value FROM k WHERE (g OR held = 0) AND site_id IS NOT NULL AND data_type IS NOT NULL),
 cy AS ({flow_queries._Y} SELECT reading_id, code FROM y), ch AS ({flow_queries._H.replace("coalesce(v < -5 OR v > 20, false)", "false")} SELECT reading_id, code FROM k), cp AS ({flow_queries._P} SELECT reading_id, code FROM k),
 c AS (SELECT silver.*, cy.code AS y, ch.code AS h, cp.code AS p FROM silver LEFT JOIN cy USING (reading_id) LEFT JOIN ch USING (reading_id) LEFT JOIN cp USING (reading_id)),
 f AS (SELECT *, CASE WHEN coalesce(y, h, p, 0) = 0 THEN CASE WHEN snapped THEN 2 ELSE 1 END WHEN y IN (1, 8, 9) OR p IN (1, 5) THEN 4 ELSE 3 END AS qc_flag FROM c)"""
 
 
-@query("promote_all", _PROMOTED + " SELECT reading_id, site_id, data_type, timestamp, snapped, qc_flag, CASE WHEN qc_flag < 4 THEN value END AS qc_value, y AS qc_y_code, h AS qc_h_code, p AS qc_p_code FROM f")
-def promote_all(spark: SparkSession, d: str) -> DataFrame:
+@query("promote", _PROMOTED + " SELECT reading_id, site_id, data_type, timestamp, snapped, qc_flag, CASE WHEN qc_flag < 4 THEN value END AS qc_value, y AS qc_y_code, h AS qc_h_code, p AS qc_p_code FROM f")
+def promote(spark: SparkSession, d: str) -> DataFrame:
     """Every row of the whole promotion, of all data types, with codes, flag and accepted value."""
     return pipeline.promote(table(spark, d, "bronze")).select("reading_id", *KEYS, "timestamp", "snapped", "qc_flag", "qc_value", "qc_y_code", "qc_h_code", "qc_p_code")
 
@@ -335,12 +326,12 @@ def silver_coverage(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.silver_coverage(table(spark, d, "silver")).withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
 
 
-@query("high_watermark", "SELECT site_id, max(timestamp) AS watermark FROM bronze GROUP BY 1")
+@query("high_watermark", "SELECT site_id, data_type, max(timestamp) AS watermark FROM bronze GROUP BY 1, 2")
 def high_watermark(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.high_watermark(table(spark, d, "bronze"))
 
 
-@query("incremental", "WITH m AS (SELECT site_id, max(timestamp) AS wm FROM silver GROUP BY 1) SELECT b.reading_id FROM bronze b LEFT JOIN m USING (site_id) WHERE b.timestamp > coalesce(m.wm, TIMESTAMP '1970-01-01')")
+@query("incremental", "WITH m AS (SELECT site_id, data_type, max(timestamp) AS wm FROM silver GROUP BY 1, 2) SELECT b.reading_id FROM bronze b LEFT JOIN m ON b.site_id IS NOT DISTINCT FROM m.site_id AND b.data_type IS NOT DISTINCT FROM m.data_type WHERE m.wm IS NULL OR b.timestamp > m.wm")
 def incremental(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.newer(table(spark, d, "bronze"), catalogue.high_watermark(table(spark, d, "silver"))).select("reading_id")
 
@@ -429,7 +420,7 @@ _CURVES = "(SELECT DISTINCT rating_id, site_id, version, limb_no, lower, upper,
 
 @query("rate_set", """WITH h AS (SELECT reading_id, site_id, CAST(timestamp AS DATE) AS day, CASE WHEN isnan(value) THEN NULL ELSE value END AS h FROM silver WHERE data_type = 'H'),
 v AS (SELECT DISTINCT site_id, rating_id, version, TRY_CAST(valid_from AS DATE) AS lo, CASE WHEN valid_to IS NULL THEN DATE '9999-12-31' ELSE TRY_CAST(valid_to AS DATE) END AS hi FROM ratings),
-j AS (SELECT h.*, v.rating_id, row_number() OVER (PARTITION BY reading_id ORDER BY version DESC, rating_id DESC) AS k FROM h JOIN v ON h.site_id = v.site_id AND day BETWEEN lo AND hi)
+j AS (SELECT h.*, v.rating_id, row_number() OVER (PARTITION BY reading_id ORDER BY version DESC, rating_id DESC) AS k FROM h LEFT JOIN v ON h.site_id = v.site_id AND day BETWEEN lo AND hi)
 SELECT reading_id, j.rating_id, round((SELECT CASE WHEN count(*) > 0 THEN greatest(arg_max(l.c * pow(greatest(j.h - l.a, 0), l.b), l.lower), 0) END FROM """ + _CURVES + """ l WHERE l.rating_id = j.rating_id AND l.lower <= j.h), 6) AS flow FROM j WHERE k = 1""")
 def rate_set(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.rate_series(clean(table(spark, d, "silver").filter("data_type = 'H'")), table(spark, d, "ratings")).select("reading_id", "rating_id", F.round("flow", 6).alias("flow"))
@@ -514,10 +505,13 @@ def pe_compare(spark: SparkSession, d: str) -> DataFrame:
     return pe.compare_sine(x, ["k"], "day", "v").select(F.round("bias", 6).alias("bias"), F.round("rmse", 6).alias("rmse"), F.round("r2", 4).alias("r2"))
 
 
-@query("disagg_daily", "SELECT reading_id, CAST(date_trunc('day', timestamp) AS TIMESTAMP) + to_minutes(15 * i) AS timestamp, value / 96 AS value FROM (SELECT *, unnest(range(96)) AS i FROM bronze WHERE period = 'daily' AND NOT isnan(value))")
+@query("disagg_daily", "WITH r AS (SELECT site_id, date_trunc('day', timestamp) AS day, sum(value) AS total FROM silver WHERE data_type = 'P' AND NOT isnan(value) GROUP BY 1, 2) SELECT site_id, CAST(day AS TIMESTAMP) + to_minutes(15 * i) AS timestamp, round(total / 96, 8) AS value FROM (SELECT *, unnest(range(96)) AS i FROM r)")
 def disagg_daily(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "bronze").filter((F.col("period") == "daily") & usable(F.col("value"))).select("reading_id", "timestamp", "value")
-    return pe.disaggregate(b, "daily")
+    """Daily rain of every gauge, spread evenly over its day."""
+    s = table(spark, d, "silver").filter((F.col("data_type") == "P") & usable(F.col("value")))
+    daily = s.groupBy("site_id", F.date_trunc("day", "timestamp").alias("timestamp")).agg(F.sum("value").alias("value"))
+    daily = daily.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return pe.disaggregate(daily, "daily").select("site_id", "timestamp", F.round("value", 8).alias("value"))
 
 
 @query("disagg_hourly", "SELECT reading_id, timestamp + to_minutes(15 * i) AS timestamp, value / 4 AS value FROM (SELECT *, unnest(range(4)) AS i FROM bronze WHERE period = 'hourly' AND NOT isnan(value))")
@@ -562,7 +556,7 @@ def pdm(spark: SparkSession, d: str) -> DataFrame:
     return export.pdm(table(spark, d, "silver").filter("data_type = 'Q'"), "flow")
 
 
-@query("fmp", "SELECT round((epoch_us(timestamp) - epoch_us(TIMESTAMP '2014-01-01')) / 3.6e9, 3) AS hours, coalesce(printf('%.3f', max(v) FILTER (WHERE data_type = 'Q')), '') AS Q, coalesce(printf('%.3f', max(v) FILTER (WHERE data_type = 'H')), '') AS H FROM (SELECT timestamp, data_type, round_even(CASE WHEN isnan(value) THEN NULL ELSE value END, 3) AS v FROM silver WHERE data_type IN ('Q', 'H')) GROUP BY timestamp")
+@query("fmp", "SELECT site_id, round((epoch_us(timestamp) - epoch_us(TIMESTAMP '2014-01-01')) / 3.6e9, 3) AS hours, coalesce(printf('%.3f', max(v) FILTER (WHERE data_type = 'Q')), '') AS Q, coalesce(printf('%.3f', max(v) FILTER (WHERE data_type = 'H')), '') AS H FROM (SELECT site_id, timestamp, data_type, round_even(CASE WHEN isnan(value) THEN NULL ELSE value END, 3) AS v FROM silver WHERE data_type IN ('Q', 'H')) GROUP BY site_id, timestamp")
 def fmp(spark: SparkSession, d: str) -> DataFrame:
     s = clean(table(spark, d, "silver").filter(F.col("data_type").isin("Q", "H")))
     s = s.withColumn("value", F.bround("value", 3))
@@ -585,3 +579,66 @@ def detect_revisions(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "bronze").filter(usable(F.col("value")))
     g = b.groupBy(*KEYS, "timestamp").agg(F.min_by("value", "reading_id").alias("was"), F.max_by("value", "reading_id").alias("now"))
     return g.filter(~F.col("was").eqNullSafe(F.col("now")))
+
+
+# typed columns, order, samples
+
+
+@query("period_infer_all", _STEPS + ", m AS (SELECT site_id, data_type, quantile_cont(d, 0.5) AS m FROM d GROUP BY 1, 2) SELECT s.reading_id, CASE WHEN m.m IS NULL THEN '15min' WHEN m.m <= 900 THEN '15min' WHEN m.m <= 3600 THEN 'hourly' ELSE 'daily' END AS period FROM silver s LEFT JOIN m ON s.site_id = m.site_id AND s.data_type = m.data_type")
+def period_infer_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading with the period of its series."""
+    return gaps.with_period(table(spark, d, "silver"), KEYS).select("reading_id", "period")
+
+
+@query("order_site_time", "SELECT reading_id, row_number() OVER (ORDER BY site_id NULLS FIRST, timestamp NULLS FIRST, reading_id) AS place FROM (SELECT * FROM silver WHERE data_type = 'Q')")
+def order_site_time(spark: SparkSession, d: str) -> DataFrame:
+    """Flow in order of gauge and time, with each row's place in it."""
+    return catalogue.placed(table(spark, d, "silver").filter("data_type = 'Q'"), ["site_id", "timestamp", "reading_id"]).select("reading_id", "place")
+
+
+@query("order_catalogue", "SELECT site_id, supplier_code, data_type, period, row_number() OVER (ORDER BY data_type NULLS FIRST, site_id NULLS FIRST, supplier_code NULLS FIRST, period NULLS FIRST) AS place FROM (SELECT DISTINCT site_id, split_part(dataset_id, '_', 1) AS supplier_code, data_type, period FROM bronze)")
+def order_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    c = catalogue.gauge_catalogue(table(spark, d, "bronze"))
+    return catalogue.placed(c, ["data_type", "site_id", "supplier_code", "period"]).select("site_id", "supplier_code", "data_type", "period", "place")
+
+
+@query("sample_head", "SELECT reading_id, site_id, timestamp FROM bronze ORDER BY reading_id LIMIT 5")
+def sample_head(spark: SparkSession, d: str) -> DataFrame:
+    """The first five readings, as a listing shows them."""
+    return catalogue.head(table(spark, d, "bronze"), ["reading_id"], 5).select("reading_id", "site_id", "timestamp")
+
+
+@query("thin_points", "WITH n AS (SELECT reading_id, row_number() OVER (PARTITION BY site_id, data_type ORDER BY timestamp, reading_id) AS k, count(*) OVER (PARTITION BY site_id, data_type) AS n FROM silver WHERE site_id IS NOT NULL AND data_type IS NOT NULL) SELECT reading_id FROM n WHERE (k - 1) % CAST(greatest(1, ceil(n / 500.0)) AS BIGINT) = 0")
+def thin_points(spark: SparkSession, d: str) -> DataFrame:
+    """At most 500 points of every series, evenly spaced, for a plot."""
+    return catalogue.thin(table(spark, d, "silver"), KEYS, ["timestamp", "reading_id"], 500).select("reading_id")
+
+
+@query("left_pe", f"SELECT s.reading_id, round(greatest(0, 2.5 + 2.0 * sin({_W} * (dayofyear(s.timestamp) - 172.0))), 8) AS pe_daily, round((s.value - greatest(0, 2.5 + 2.0 * sin({_W} * (dayofyear(s.timestamp) - 172.0))) / 96) * 12.5, 6) AS volume FROM silver s WHERE data_type = 'P' AND NOT isnan(value)")
+def left_pe(spark: SparkSession, d: str) -> DataFrame:
+    """Rain with the daily evaporation of its day taken off, as a volume over 12.5 square kilometres."""
+    s = table(spark, d, "silver").filter((F.col("data_type") == "P") & usable(F.col("value"))).select("reading_id", "timestamp", "value")
+    days = s.select(F.to_date("timestamp").alias("date")).distinct()
+    daily = days.select("date", pe.sine(F.col("date"), F.lit(2.5), F.lit(2.0), F.lit(172.0)).alias("pe"))
+    x = pe.with_daily(s, daily)
+    return x.select("reading_id", F.round("pe_daily", 8).alias("pe_daily"), F.round(pe.to_volume("rainfall", F.col("value"), "15min", area_km2=12.5, pe_daily=F.col("pe_daily")), 6).alias("volume"))
+
+
+@query("rating_flatten", "SELECT DISTINCT rating_id, site_id, version, valid_from, valid_to, limb_no, lower, CASE WHEN isinf(upper) THEN NULL ELSE upper END AS upper, c, a, b FROM ratings WHERE rating_id IS NOT NULL")
+def rating_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """Rating curves and back: limbs gathered into curves, then flattened to rows with open tops as NULL."""
+    return rating.flatten_set(rating.load_set(table(spark, d, "ratings"))).select("rating_id", "site_id", "version", "valid_from", "valid_to", "limb_no", "lower", "upper", "c", "a", "b")
+
+
+@query("rating_load", "WITH c AS (SELECT DISTINCT rating_id, site_id, version, valid_from, valid_to, limb_no, lower FROM ratings WHERE rating_id IS NOT NULL) SELECT rating_id, site_id, version, valid_from, valid_to, CAST(count(*) AS INTEGER) AS n_limbs, min(lower) AS lowest FROM c GROUP BY 1, 2, 3, 4, 5")
+def rating_load(spark: SparkSession, d: str) -> DataFrame:
+    """The stored ratings as curves."""
+    return rating.load_set(table(spark, d, "ratings")).select("rating_id", "site_id", "version", "valid_from", "valid_to", F.size("limbs").alias("n_limbs"), F.get("limbs", F.lit(0))["lower"].alias("lowest"))
+
+
+@query("value_column_infer", "SELECT DISTINCT line, CASE WHEN line ILIKE '%,value,%' THEN 'Value' END AS value_column, CASE WHEN line ILIKE '%,quality code,%' THEN 'Quality Code' END AS flag_column FROM wiski_all_lines WHERE line LIKE 'Time stamp,%'")
+def value_column_infer(spark: SparkSession, d: str) -> DataFrame:
+    """The value and the flag column that each header of an export names."""
+    x = table(spark, d, "wiski_all_lines").filter(F.col("line").startswith("Time stamp,")).select("line").distinct()
+    value, flag = allfile.infer_columns(F.split("line", ","))
+    return x.select("line", value.alias("value_column"), flag.alias("flag_column"))

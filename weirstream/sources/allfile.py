@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstream.functions.vocab import dataset_id, infer_type, trace_code
@@ -53,6 +53,18 @@ def ingest(spark: SparkSession, path: str, run_date: str, encoding: str = "ISO-8
     return to_bronze(parse_blocks(read_blocks(spark, path, encoding)), run_date)
 
 
+# Names of value and flag columns, in order of preference.
+VALUE_NAMES = ("value", "flow", "level", "stage", "rainfall", "discharge")
+FLAG_NAMES = ("quality code", "quality", "flag", "status")
+
+
+def infer_columns(names: Column) -> tuple[Column, Column]:
+    """The value and the flag column among the names of a header; NULL where none is known."""
+    low = F.transform(names, lambda x: F.lower(F.trim(x)))
+    pick = lambda known: F.coalesce(*[F.trim(F.try_element_at(names, F.nullif(F.array_position(low, n), F.lit(0)).cast("int"))) for n in known])
+    return pick(VALUE_NAMES), pick(FLAG_NAMES)
+
+
 def ingest_log(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy(F.col("site_id").alias("gauge_id"), "dataset_id").agg(F.count(F.lit(1)).alias("rows"))
 
