@@ -16,12 +16,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 from weirstream.llm.bpe import PIECES, PrefixCoder, read_ranks
+from weirstream.session import ship
 
 DEFAULT_VOCABULARY = os.environ.get("WEIRSTREAM_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 MOST_VOCABULARY = 64_000_000
 
 
-
 def _shared(spark: SparkSession, path: str):
     with open(path, "rb") as f:
         data = f.read(MOST_VOCABULARY + 1)
@@ -30,16 +30,15 @@ def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((hashlib.sha256(data).hexdigest(), data))
 
 
-def _coder(shared, pieces: str) -> PrefixCoder:
-    import builtins
+#: Coders of this worker process; the package is imported there once, so they outlive a task.
+_CODERS: dict[tuple[str, str], PrefixCoder] = {}
 
-    # the package travels by value with each job, so what a worker process keeps is kept outside of it
-    known = builtins.__dict__.setdefault("_weirstream_coders", {})
+
+def _coder(shared, pieces: str) -> PrefixCoder:
     name, data = shared.value
-    key = (name, pieces)
-    if key not in known:
-        known[key] = PrefixCoder(read_ranks(data), pieces)
-    return known[key]
+    if (name, pieces) not in _CODERS:
+        _CODERS[name, pieces] = PrefixCoder(read_ranks(data), pieces)
+    return _CODERS[name, pieces]
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None, pieces: str = PIECES, also: tuple[str, ...] = ()) -> DataFrame:
@@ -53,6 +52,7 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", vocabul
 
 
 def _map(df: DataFrame, key: str, text: str, vocabulary: str | None, pieces: str, also: tuple[str, ...], out: str) -> DataFrame:
+    ship(df.sparkSession)
     shared = _shared(df.sparkSession, vocabulary or DEFAULT_VOCABULARY)
     kept = [key, *also]
     narrow = df.select(*kept, text)

@@ -10,12 +10,14 @@ one aggregation over the histogram of document lengths (distributed; one row a s
 copies by a threshold that a hash of the document's id shifts, and the threshold of each source is then moved until its
 tokens meet the budget, by two rounds of histograms over the places at which copies change.
 
+The iterations raise an error if they do not converge; so does a target table that names a source twice.
+
 Defined results: a document with NULL source or id, of a source without target, or without tokens (NULL, empty) gets no
 copies; targets are normed to sum 1; a target source without tokens or with ``max_repeats`` below one has share 0 and the
 others keep their relation; repeated rows are documents of their own with equal hash; empty tables give an empty result.
 
 Plan: texts are read and tokenized once; the counts (no texts) are written to the shared checkpoint folder. All loops run
-over the length histogram. Documents are never grouped by source in one task: only partial sums are shuffled.
+over the length histogram, which meets the numbers of each source by a join with a small table (at most ``MOST_SOURCES`` rows). Documents are never grouped by source in one task: only partial sums are shuffled.
 """
 
 from __future__ import annotations
@@ -39,15 +41,20 @@ def read_targets(targets: DataFrame, most: int = MOST_SOURCES) -> dict[str, tupl
     if len(rows) > most:
         raise ValueError(f"more than {most} target sources")
     out = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in rows}
+    if len(out) < len(rows):
+        raise ValueError("a target source is named more than once")
     total = sum(s for s, _ in out.values())
     return {k: (s / total, m) for k, (s, m) in out.items()} if total > 0 else {}
 
 
-def _by_source(values: dict[str, float]) -> Column:
-    """A value per source as a literal map; bounded by MOST_SOURCES."""
-    if not values:
-        return F.lit(None).cast("double")
-    return F.try_element_at(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))]), F.col("source"))
+def with_numbers(df: DataFrame, **numbers: dict[str, float]) -> DataFrame:
+    """Rows whose source has all of ``numbers``, each as a column; a join with one row a source, at most MOST_SOURCES."""
+    common = [s for s in next(iter(numbers.values())) if all(s in v for v in numbers.values())]
+    if len(common) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    rows = [(s, *[float(v[s]) for v in numbers.values()]) for s in common]
+    small = df.sparkSession.createDataFrame(rows, "source string, " + ", ".join(f"`{n}` double" for n in numbers))
+    return df.join(F.broadcast(small), "source")
 
 
 def budgets(targets: dict[str, tuple[float, int]], held: dict[str, float]) -> dict[str, float]:
@@ -71,16 +78,12 @@ def solve_tilts(hist: DataFrame, targets: dict, goal: dict[str, float], held: di
     for _ in range(rounds):
         if not lo:
             break
-        rate = rates(targets, {s: tilt[s] for s in lo}, held)
-        m = _by_source({s: targets[s][1] for s in lo})
-        x = F.col("tokens") / _by_source({s: held[s][1] for s in lo})
         got = (
-            hist.withColumn("rate", rate)
-            .filter(F.col("rate").isNotNull())
+            rated(hist, targets, {s: tilt[s] for s in lo}, held)
             .groupBy("source")
             .agg(
                 F.sum(F.col("n") * F.col("rate") * F.col("tokens")).alias("given"),
-                F.sum(F.col("n") * F.col("rate") * (1 - F.col("rate") / m) * F.col("tokens") * x).alias("slope"),
+                F.sum(F.col("n") * F.col("rate") * (1 - F.col("rate") / F.col("m")) * F.col("tokens") * F.col("tokens") / F.col("mean")).alias("slope"),
             )
             .collect()  # one row a source
         )
@@ -95,17 +98,18 @@ def solve_tilts(hist: DataFrame, targets: dict, goal: dict[str, float], held: di
                 lo[s] = tilt[s]
             step = tilt[s] - miss / slope if slope > 0 else math.nan
             tilt[s] = step if lo[s] < step < hi[s] else (lo[s] + hi[s]) / 2
+    if lo:
+        raise ArithmeticError(f"no convergence within {rounds} rounds for {sorted(lo)[:5]}")
     return tilt
 
 
-def rates(targets: dict, tilt: dict[str, float], held: dict[str, tuple[float, float]]) -> Column:
-    """Tilted rate of a document with ``tokens`` of ``source``: base one copy (half a copy where only one is allowed)."""
-    m = _by_source({s: targets[s][1] for s in tilt})
-    odds = _by_source({s: (targets[s][1] - 1) or 1 for s in tilt})
-    t = _by_source({s: min(x, 1e6) for s, x in tilt.items()})
-    mean = _by_source({s: held[s][1] for s in tilt})
-    power = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -t * F.col("tokens") / mean))
-    return F.when(t >= 1e6, m).otherwise(m / (1 + odds * F.exp(power)))
+def rated(df: DataFrame, targets: dict, tilt: dict[str, float], held: dict[str, tuple[float, float]]) -> DataFrame:
+    """Add ``rate``, the tilted rate of a document with ``tokens`` of ``source``, and ``m``: base one copy (half a copy where only one is allowed)."""
+    df = with_numbers(
+        df, m={s: targets[s][1] for s in tilt}, odds={s: (targets[s][1] - 1) or 1 for s in tilt}, tilt={s: min(x, 1e6) for s, x in tilt.items()}, mean={s: held[s][1] for s in tilt}
+    )
+    power = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -F.col("tilt") * F.col("tokens") / F.col("mean")))
+    return df.withColumn("rate", F.when(F.col("tilt") >= 1e6, F.col("m")).otherwise(F.col("m") / (1 + F.col("odds") * F.exp(power))))
 
 
 def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -121,9 +125,8 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
 
 
 def _rounded(docs: DataFrame, key: str, goals: dict, goal: dict[str, float], tilt: dict[str, float], held: dict) -> DataFrame:
-    m = _by_source({s: goals[s][1] for s in goal})
     shift = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 40)) / float(1 << 40)
-    docs = docs.withColumn("rate", rates(goals, tilt, held)).filter(F.col("rate").isNotNull()).withColumn("m", m).withColumn("x", F.col("rate") + shift)
+    docs = rated(docs, goals, tilt, held).drop("odds", "tilt", "mean").withColumn("x", F.col("rate") + shift)
 
     def copies(d: Column) -> Column:
         return F.greatest(F.lit(0.0), F.least(F.col("m"), F.floor(F.col("x") + d)))
@@ -145,7 +148,8 @@ def _rounded(docs: DataFrame, key: str, goals: dict, goal: dict[str, float], til
         w = Window.partitionBy("source").orderBy("bin")  # at most BINS rows a source
         filled = moves.groupBy("source", "bin").agg(F.sum("tokens").alias("more")).withColumn("upto", F.sum("more").over(w)).join(base, "source")
         best = (
-            filled.filter(F.col("base") + F.col("upto") <= _by_source(goal))
+            with_numbers(filled, goal=goal)
+            .filter(F.col("base") + F.col("upto") <= F.col("goal"))
             .groupBy("source")
             .agg(F.max("bin").alias("bin"))
         )
