@@ -71,14 +71,14 @@ def p1_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "p4_found",
     """
-WITH r AS (SELECT DISTINCT site_id, TRY_CAST(valid_from AS DATE) AS lo, CASE WHEN valid_to IS NULL THEN DATE '9999-12-31' ELSE TRY_CAST(valid_to AS DATE) END AS hi
+WITH r AS (SELECT DISTINCT site_id, TRY_CAST(valid_from AS DATE) AS lo, CASE WHEN valid_to IS NULL THEN DATE '99999-12-31' ELSE TRY_CAST(valid_to AS DATE) END AS hi
            FROM rating_register WHERE site_id IS NOT NULL),
 v AS (SELECT * FROM r WHERE lo IS NOT NULL AND hi >= lo),
 m AS (SELECT *, max(hi) OVER (PARTITION BY site_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM v),
 g AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY site_id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS n FROM m),
 s AS (SELECT site_id, n, min(lo) AS a, max(hi) AS z FROM g GROUP BY 1, 2),
 l AS (SELECT *, lead(a) OVER (PARTITION BY site_id ORDER BY a) AS nxt FROM s)
-SELECT site_id, 'period' AS kind, strftime(a, '%Y-%m-%d') AS first_day, CASE WHEN z = DATE '9999-12-31' THEN 'open' ELSE strftime(z, '%Y-%m-%d') END AS last_day FROM l
+SELECT site_id, 'period' AS kind, strftime(a, '%Y-%m-%d') AS first_day, CASE WHEN z = DATE '99999-12-31' THEN 'open' ELSE strftime(z, '%Y-%m-%d') END AS last_day FROM l
 UNION ALL
 SELECT site_id, 'gap', strftime(z + 1, '%Y-%m-%d'), strftime(nxt - 1, '%Y-%m-%d') FROM l WHERE nxt IS NOT NULL
 """,

@@ -40,17 +40,17 @@ def setup_store(spark: SparkSession, root: str, categories: dict = CATEGORIES, p
     return spark.createDataFrame(out, "path string, created boolean")
 
 
-def write_bronze(df: DataFrame, root: str, category: str) -> None:
-    """Append under ``bronze/category/supplier/type/year``, rows of one folder gathered so that files stay large."""
+def write_bronze(df: DataFrame, root: str, category: str, tasks: int = 8) -> None:
+    """Append under ``bronze/category/supplier/type/year``, rows of one folder gathered into ``tasks`` files, so that files stay large."""
     x = df.withColumns({"category": F.lit(category), "supplier_code": F.split("dataset_id", "_")[0], "year": F.year("timestamp")})
-    spread = F.pmod(F.xxhash64("site_id", F.to_date("timestamp")), F.lit(8))  # a folder with a third of all rows is eight tasks
+    spread = F.pmod(F.xxhash64("site_id", F.to_date("timestamp")), F.lit(tasks))  # to be raised with the size of the load, as one folder may hold a third of all rows
     x.repartition("supplier_code", "data_type", "year", spread).write.mode("append").partitionBy("category", "supplier_code", "data_type", "year").parquet(f"{root}/bronze")
 
 
-def write_silver(df: DataFrame, root: str, category: str) -> None:
-    """Replace the (category, type, year) folders that ``df`` touches, leaving others."""
+def write_silver(df: DataFrame, root: str, category: str, tasks: int = 8) -> None:
+    """Replace the (category, type, year) folders that ``df`` touches, leaving others; ``tasks`` files a folder."""
     x = df.withColumns({"category": F.lit(category), "year": F.year("timestamp")})
-    spread = F.pmod(F.xxhash64("site_id", F.to_date("timestamp")), F.lit(8))
+    spread = F.pmod(F.xxhash64("site_id", F.to_date("timestamp")), F.lit(tasks))
     x.repartition("data_type", "year", spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("category", "data_type", "year").parquet(f"{root}/silver")
 
 

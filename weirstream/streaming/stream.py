@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstream.plans.pipeline import promote
-from weirstream.session import checkpoint_dir, prepare
+from weirstream.session import checkpoint_dir, keep_until_end, prepare
 
 KEYS = ["site_id", "data_type", "timestamp"]
 
@@ -47,11 +47,16 @@ def promote_batches(readings: DataFrame, history, write, checkpoint: str):
     return readings.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the deduplicated stream of ``bronze`` over what there is, into the shared checkpoint folder, and read it back."""
+def run_dedup(spark: SparkSession, sf_dir: str, delay: str = "7 days") -> DataFrame:
+    """Run the deduplicated stream of ``bronze`` over what there is, into the shared checkpoint folder, and read it back.
+
+    State is kept for ``delay``: a repeat that arrives in a later batch and later than that is let through. The files go when
+    the application ends.
+    """
     prepare(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    out = dedup_stream(read_stream(spark, f"{sf_dir}/bronze.parquet"), "36500 days").select(*KEYS)
+    out = dedup_stream(read_stream(spark, f"{sf_dir}/bronze.parquet"), delay).select(*KEYS)
+    keep_until_end(spark, base)
     q = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{base}/out")
